@@ -44,15 +44,18 @@ def delivery_facts(
     scope: str = "history",
     run_ts: datetime | None = None,
     hot_order_events: int = HOT_ORDER_EVENTS,
+    orders: DataFrame | None = None,
 ) -> DataFrame:
-    """The 18 fact columns for every event in ``raw``.
+    """The 18 fact columns for every event in ``raw``, or for those of ``orders``.
 
     ``scope="history"`` looks at all versions and all events of an order together.
     ``scope="date"`` treats each ``event_date`` on its own, as a run that reads a single
     day does: an order picked up one day and delivered the next gets no duration.
 
     The summary reads a narrow projection of the same events, so only the columns it
-    needs go through its shuffles.
+    needs go through its shuffles. ``orders`` (distinct ``order_id``) is applied to it,
+    after dedup: an event counts for the order of its latest version. Events without an
+    order are always kept.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
@@ -60,7 +63,13 @@ def delivery_facts(
     latest = dedup_latest(raw, [*day, "event_id"])
     narrow = dedup_latest(raw.select(*_SUMMARY_INPUT, *day), [*day, "event_id"])
     order = [*day, "order_id"]
-    enriched = enrich_orders(latest, order_summary(narrow, order), order, hot_order_events)
+    summary = order_summary(narrow, order)
+    if orders is not None:
+        summary = summary.join(orders, "order_id", "left_semi")
+    enriched = enrich_orders(latest, summary, order, hot_order_events)
+    if orders is not None:
+        has_summary = F.col("is_failed").isNotNull()
+        enriched = enriched.filter(has_summary | F.col("order_id").isNull())
     return (
         judge_orders(enriched, sla_hours, late_reasons)
         .withColumn("_transformed_at", batch_clock(run_ts))
