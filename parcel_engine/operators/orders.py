@@ -45,11 +45,13 @@ def enrich_orders(
     """
     size = F.col("event_count")
     found = F.struct(*SUMMARY)
-    hot = summary.filter(size >= hot_order_events).select(*keys, found.alias("_hot"))
+    # Same columns in the same order, so that both read one shuffle of the summary.
+    is_hot = size >= hot_order_events
+    hot = summary.filter(is_hot).select(*keys, found.alias("_hot"), is_hot.alias("_is_hot"))
     other = summary.select(
         *keys,
-        F.when(size < hot_order_events, F.lit(0).cast("long")).alias("_slice"),
         found.alias("_other"),
+        F.when(~is_hot, F.lit(0).cast("long")).alias("_slice"),
     )
 
     spread = F.col("_hot").isNotNull() | F.col(keys[-1]).isNull()
