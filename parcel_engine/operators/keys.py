@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 16
+SLICES = 4
 
 
 def rows_with_keys(

@@ -26,16 +26,13 @@ class History:
     """
 
     def __init__(self, raw: DataFrame, dates: Iterable[date], stage: Stage):
-        day = date_slice(raw, dates)
+        touched = date_slice(raw, dates).select("event_id").distinct()
         pairs = raw.select("event_id", "order_id")
-        events = stage.keep(day.select("event_id").distinct())
         # An event moved to another order by a correction touches both orders.
-        orders = stage.keep(
-            rows_with_keys(pairs, events, "event_id").select("order_id").distinct()
-        )
-        members = rows_with_keys(pairs, orders, "order_id").select("event_id")
-        related = stage.keep(members.unionByName(events).distinct())
-        self.orders = orders
+        orders = rows_with_keys(pairs, touched, "event_id").select("order_id").distinct()
+        self.orders = stage.keep(orders)
+        members = rows_with_keys(pairs, self.orders, "order_id").select("event_id")
+        related = members.unionByName(touched).distinct()
         self.events = stage.keep(rows_with_keys(raw, related, "event_id"))
 
 
