@@ -45,6 +45,7 @@ def delivery_facts(
     run_ts: datetime | None = None,
     hot_order_events: int = HOT_ORDER_EVENTS,
     orders: DataFrame | None = None,
+    deduplicated: bool = False,
 ) -> DataFrame:
     """The 18 fact columns for every event in ``raw``, or for those of ``orders``.
 
@@ -53,15 +54,19 @@ def delivery_facts(
     day does: an order picked up one day and delivered the next gets no duration.
 
     The summary reads a narrow projection of the same events, so only the columns it
-    needs go through its shuffles. ``orders`` (distinct ``order_id``) is applied to it,
-    after dedup: an event counts for the order of its latest version. Events without an
-    order are always kept.
+    needs go through its shuffles. ``deduplicated`` says that ``raw`` already holds one
+    version per event, for instance because it was staged like that.
+
+    ``orders`` (distinct ``order_id``) is applied after dedup: an event counts for the
+    order of its latest version. Events without an order are always kept.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
     day = ["event_date"] if scope == "date" else []
-    latest = dedup_latest(raw, [*day, "event_id"])
-    narrow = dedup_latest(raw.select(*_SUMMARY_INPUT, *day), [*day, "event_id"])
+    latest, narrow = raw, raw.select(*_SUMMARY_INPUT, *day)
+    if not deduplicated:
+        latest = dedup_latest(latest, [*day, "event_id"])
+        narrow = dedup_latest(narrow, [*day, "event_id"])
     order = [*day, "order_id"]
     summary = order_summary(narrow, order)
     if orders is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcel_engine.functions.delivery import LATE_REASONS, SLA_HOURS
+from parcel_engine.operators.dedup import dedup_latest
 from parcel_engine.operators.facts import delivery_facts
 from parcel_engine.operators.keys import rows_with_keys
 from parcel_engine.operators.orders import HOT_ORDER_EVENTS
@@ -19,10 +20,10 @@ from parcel_engine.sources.tables import as_date, date_slice
 
 
 class History:
-    """The orders touched on some days, and all raw events that decide their facts.
+    """The orders touched on some days, and the events that decide their facts.
 
-    ``events`` also holds the versions of those events that name some other order, so
-    that the latest version of each event is known.
+    ``events`` holds the latest version of every event that was ever in such an order.
+    Some of those have moved on to another order, of which the rest is not read.
     """
 
     def __init__(self, raw: DataFrame, dates: Iterable[date], stage: Stage):
@@ -33,7 +34,7 @@ class History:
         self.orders = stage.keep(orders)
         members = rows_with_keys(pairs, self.orders, "order_id").select("event_id")
         related = members.unionByName(touched).distinct()
-        self.events = stage.keep(rows_with_keys(raw, related, "event_id"))
+        self.events = stage.keep(dedup_latest(rows_with_keys(raw, related, "event_id")))
 
 
 def last_day_wins(facts: DataFrame) -> DataFrame:
@@ -84,7 +85,9 @@ def transform(
             facts = delivery_facts(raw, **options)
         else:
             history = History(raw, days, stage)
-            facts = delivery_facts(history.events, orders=history.orders, **options)
+            facts = delivery_facts(
+                history.events, orders=history.orders, deduplicated=True, **options
+            )
         return upsert(
             conform(facts, FACT),
             facts_table,
