@@ -11,22 +11,17 @@ from pyspark.sql import functions as F
 from parcel_engine import watermark
 from parcel_engine.schemas import RAW, SOURCE, conform
 from parcel_engine.session import instant, require_utc
-from parcel_engine.sinks.tables import append, ensure_table
-from parcel_engine.sources.tables import NO_OVERLAP, enrich_calendar, incremental_scan
+from parcel_engine.sinks.tables import append, ensure_table, partitions
+from parcel_engine.sources.tables import enrich_calendar, incremental_scan
 
 
 class IngestResult(NamedTuple):
+    """``since`` is where reading started, ``watermark`` where the next run continues."""
+
     rows: int
     run_ts: datetime
+    since: datetime
     watermark: datetime
-    first_day: date | None
-    last_day: date | None
-
-
-def _day(days_since_epoch: int | None) -> date | None:
-    if days_since_epoch is None:
-        return None
-    return date(1970, 1, 1) + timedelta(days=days_since_epoch)
 
 
 def ingest(
@@ -40,50 +35,43 @@ def ingest(
     overlap: timedelta = watermark.LOOKBACK,
     job: str = watermark.JOB,
 ) -> IngestResult:
-    """Append the source rows newer than the watermark, then advance the watermark.
+    """Append the source rows that are new, then advance the watermark.
 
     Without a watermark, reading starts ``lookback`` before ``run_ts``. With one, it
     starts ``overlap`` before it, so events that reach the source late are still picked
-    up; the copies this adds to raw are removed by dedup and upsert. ``overlap`` of zero
-    reads strictly newer rows only.
+    up; ``overlap`` of zero reads strictly newer rows only. Of what is read, copies that
+    the raw table already holds are left out (``EXCEPT ALL``: counted, so equal rows of
+    one batch all stay, and added up before the shuffle). A repeated run adds nothing.
 
-    The new watermark is the latest event time read, but not after ``run_ts``: a row
+    The new watermark is the latest event time added, but not after ``run_ts``: a row
     dated in the future cannot make later runs skip data. It is logged last, and only for
     a non-empty batch, so a run that fails in between is simply repeated.
 
-    The source is scanned once; the row count and the bounds come from the write.
+    The source is scanned once; the row count and the newest time come from the write.
     """
     require_utc(spark)
     run_ts = instant(run_ts or datetime.now(timezone.utc))
-    since, found = watermark.current(spark, watermark_table, run_ts, lookback, job)
-    new = incremental_scan(source, since, overlap if found else NO_OVERLAP)
-    batch = conform(enrich_calendar(conform(new, SOURCE), F.lit(run_ts)), RAW)
-    ensure_table(spark, raw_table, RAW)
-    seen = append(
-        batch,
-        raw_table,
-        measures=[
-            F.unix_micros(F.max("event_timestamp")).alias("newest"),
-            F.unix_date(F.min("event_date")).alias("first_day"),
-            F.unix_date(F.max("event_date")).alias("last_day"),
-        ],
-    )
+    mark, found = watermark.current(spark, watermark_table, run_ts, lookback, job)
+    since = mark - overlap if found else mark
+    known = incremental_scan(ensure_table(spark, raw_table, RAW), since)
+    read = conform(incremental_scan(source, since), SOURCE)
+    new = read.exceptAll(known.select(*SOURCE.fieldNames()))
+    newest = F.unix_micros(F.max("event_timestamp")).alias("newest")
+    batch = conform(enrich_calendar(new, F.lit(run_ts)), RAW)
+    seen = append(batch, raw_table, measures=[newest])
     if not seen["rows"]:
-        return IngestResult(0, run_ts, since, None, None)
-    newest = min(watermark.from_micros(seen["newest"]), run_ts)
-    mark = max(since, newest) if found else newest
+        return IngestResult(0, run_ts, since, mark)
+    newest_read = min(watermark.from_micros(seen["newest"]), run_ts)
+    mark = max(mark, newest_read) if found else newest_read
     watermark.advance(spark, watermark_table, mark, run_date or str(run_ts.date()), job)
-    first, last = _day(seen["first_day"]), _day(seen["last_day"])
-    return IngestResult(seen["rows"], run_ts, mark, first, last)
+    return IngestResult(seen["rows"], run_ts, since, mark)
 
 
 def touched_dates(spark: SparkSession, raw_table: str, result: IngestResult) -> set[date]:
-    """Days of the events a run added; only the partitions in its range are read."""
-    if not result.rows:
-        return set()
-    added = (
-        spark.table(raw_table)
-        .filter(F.col("event_date").between(result.first_day, result.last_day))
-        .filter(F.col("_ingested_at") == F.lit(result.run_ts))
-    )
-    return {r.event_date for r in added.select("event_date").distinct().collect()}
+    """Every day that rows of the run may lie on, from the catalog alone.
+
+    This includes the overlap also when the run added nothing there, so the facts of an
+    earlier run that stopped after its ingest are made up for.
+    """
+    first = result.since.date()
+    return {day for day in partitions(spark, raw_table) if day >= first}

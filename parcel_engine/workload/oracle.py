@@ -118,15 +118,12 @@ _UPSERTED = _with(
     "WHERE event_id NOT IN (SELECT event_id FROM late)",
 )
 
-_TWO_RUNS = f"""first_mark AS (
-  SELECT max(event_timestamp) AS mark FROM mapped WHERE event_timestamp <= {WATERMARK}
-),
+_FIRST = f"event_timestamp <= {WATERMARK} AND notes IS NULL"
+_TWO_RUNS = f"""first_mark AS (SELECT max(event_timestamp) AS mark FROM mapped WHERE {_FIRST}),
 ingested AS (
-  SELECT * REPLACE ({WATERMARK} AS _ingested_at) FROM raw
-  WHERE event_timestamp <= {WATERMARK}
-  UNION ALL
-  SELECT raw.* REPLACE ({RUN_TS} AS _ingested_at) FROM raw, first_mark
-  WHERE event_timestamp > mark - INTERVAL 3 DAY
+  SELECT raw.* REPLACE (CASE WHEN {_FIRST} THEN {WATERMARK} ELSE {RUN_TS} END AS _ingested_at)
+  FROM raw, first_mark
+  WHERE ({_FIRST}) OR event_timestamp > mark - INTERVAL 3 DAY
 )"""
 
 
@@ -266,7 +263,8 @@ ORACLE: dict[str, str] = {
         select="SELECT * FROM kpis",
     ),
     "daily_runs": _with(
-        _facts("raw", "facts"),
+        _TWO_RUNS,
+        _facts("ingested", "facts"),
         _kpis("facts", "kpis"),
         select="SELECT * EXCLUDE (_aggregated_at) FROM kpis",
     ),

@@ -351,13 +351,18 @@ def watermark_fallback(spark, sf_dir):
     return incremental_scan(source_rows(spark, sf_dir), since)
 
 
+def _first_source(source: DataFrame) -> DataFrame:
+    """What the source holds at the first run's time; resent copies reach it only later."""
+    until = F.lit(WATERMARK_TS).cast("timestamp_ntz")
+    return source.filter((F.col("event_timestamp") <= until) & F.col("notes").isNull())
+
+
 def _two_runs(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
-    """Ingest what the source holds at the first run's time, then all of it."""
+    """Ingest the first source, then all of it."""
     raw, log = fresh_table(spark, f"{name}_raw"), fresh_table(spark, f"{name}_log")
     source = source_rows(spark, sf_dir)
-    until = F.lit(WATERMARK_TS).cast("timestamp_ntz")
-    then = source.filter(F.col("event_timestamp") <= until)
-    ingest(spark, then, raw, log, WATERMARK_TS, lookback=timedelta(days=30))
+    month = timedelta(days=30)
+    ingest(spark, _first_source(source), raw, log, WATERMARK_TS, lookback=month)
     ingest(spark, source, raw, log, RUN_TS)
     return raw, log
 
@@ -411,9 +416,7 @@ def daily_runs(spark, sf_dir):
     names = ("raw", "facts", "kpis", "watermarks")
     tables = Tables(**{n: fresh_table(spark, f"daily_{n}") for n in names})
     source = source_rows(spark, sf_dir)
-    until = F.lit(WATERMARK_TS).cast("timestamp_ntz")
-    then = source.filter(F.col("event_timestamp") <= until)
     month = {"lookback": timedelta(days=30)}
-    run_daily(spark, then, tables, WATERMARK_TS, ingest_options=month)
+    run_daily(spark, _first_source(source), tables, WATERMARK_TS, ingest_options=month)
     run_daily(spark, source, tables, RUN_TS)
     return spark.table(tables.kpis).drop("_aggregated_at")

@@ -46,7 +46,7 @@ class TestIngest:
         done = ingest(spark, source, tables.raw, tables.watermarks, RUN)
         assert done.rows == 10  # all within three days of the run
         assert done.watermark == utc("2024-01-15T18:00:00")
-        assert (done.first_day, done.last_day) == (D13, D15)
+        assert done.since == RUN - timedelta(days=3)
         raw = spark.table(tables.raw)
         assert set(raw.columns) == set(RAW.fieldNames())
         assert raw.filter("day(event_date) <> day or year <> 2024 or month <> 1").count() == 0
@@ -87,6 +87,15 @@ class TestIngest:
         assert strict.rows == 0
         ingest(spark, everything, tables.raw, tables.watermarks, RUN)
         assert spark.table(tables.raw).filter("event_id = 'evt-003'").count() == 1
+        assert spark.table(tables.raw).count() == 10
+
+    def test_equal_rows_of_a_batch_and_corrections_stay(self, spark, tables):
+        source = source_of(four_orders(spark))
+        twice = source.unionByName(source)
+        assert ingest(spark, twice, tables.raw, tables.watermarks, RUN).rows == 20
+        assert ingest(spark, twice, tables.raw, tables.watermarks, RUN).rows == 0
+        changed = source.withColumn("status_code", F.lit("AI002"))
+        assert ingest(spark, changed, tables.raw, tables.watermarks, RUN).rows == 10
 
     def test_future_row_does_not_move_the_mark_past_the_run(self, spark, tables):
         rows = [raw_row(*e) for e in EVENTS]
@@ -294,13 +303,18 @@ class TestRuns:
         # As if the first attempt had died before it logged its watermark.
         spark.sql(f"DROP TABLE {tables.watermarks}")
         run_daily(spark, source, tables, RUN)
-        assert spark.table(tables.raw).count() == 20
+        assert spark.table(tables.raw).count() == 10
         assert (state(spark, tables.facts), state(spark, tables.kpis)) == before
 
+    def test_run_that_stopped_after_ingest_is_made_up_for(self, spark, tables):
+        source = source_of(four_orders(spark))
+        ingest(spark, source, tables.raw, tables.watermarks, RUN)
+        run_daily(spark, source, tables, RUN)
+        assert facts_by_event(spark.table(tables.facts)) == GOLDEN
+
     def test_nothing_new(self, spark, tables):
         source = source_of(four_orders(spark))
         run_daily(spark, source, tables, RUN)
-        none = run_daily(
-            spark, source, tables, RUN, ingest_options={"overlap": timedelta(0)}
-        )
-        assert none == (0, 0, set())
+        before = state(spark, tables.facts), state(spark, tables.kpis)
+        run_daily(spark, source, tables, RUN, ingest_options={"overlap": timedelta(0)})
+        assert (state(spark, tables.facts), state(spark, tables.kpis)) == before
