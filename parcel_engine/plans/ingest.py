@@ -48,14 +48,17 @@ def ingest(
     a non-empty batch, so a run that fails in between is simply repeated.
 
     The source is scanned once; the row count and the newest time come from the write.
+    Where raw holds no day of the range yet, as on a first load, nothing is compared.
     """
     require_utc(spark)
     run_ts = instant(run_ts or datetime.now(timezone.utc))
     mark, found = watermark.current(spark, watermark_table, run_ts, lookback, job)
     since = mark - overlap if found else mark
-    known = incremental_scan(ensure_table(spark, raw_table, RAW), since)
-    read = conform(incremental_scan(source, since), SOURCE)
-    new = read.exceptAll(known.select(*SOURCE.fieldNames()))
+    raw = ensure_table(spark, raw_table, RAW)
+    new = conform(incremental_scan(source, since), SOURCE)
+    if days_from(spark, raw_table, since):
+        known = incremental_scan(raw, since).select(*SOURCE.fieldNames())
+        new = new.exceptAll(known)
     newest = F.unix_micros(F.max("event_timestamp")).alias("newest")
     batch = conform(enrich_calendar(new, F.lit(run_ts)), RAW)
     seen = append(batch, raw_table, measures=[newest])
@@ -67,11 +70,15 @@ def ingest(
     return IngestResult(seen["rows"], run_ts, since, mark)
 
 
+def days_from(spark: SparkSession, table: str, since: datetime) -> set[date]:
+    """Days of the table that can hold rows after ``since``, from the catalog alone."""
+    return {day for day in partitions(spark, table) if day >= since.date()}
+
+
 def touched_dates(spark: SparkSession, raw_table: str, result: IngestResult) -> set[date]:
-    """Every day that rows of the run may lie on, from the catalog alone.
+    """Every day that rows of the run may lie on.
 
     This includes the overlap also when the run added nothing there, so the facts of an
     earlier run that stopped after its ingest are made up for.
     """
-    first = result.since.date()
-    return {day for day in partitions(spark, raw_table) if day >= first}
+    return days_from(spark, raw_table, result.since)

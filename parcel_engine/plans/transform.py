@@ -15,6 +15,7 @@ from parcel_engine.operators.keys import rows_with_keys
 from parcel_engine.operators.orders import HOT_ORDER_EVENTS
 from parcel_engine.schemas import FACT, conform
 from parcel_engine.session import Stage, require_utc, staging
+from parcel_engine.sinks.tables import partitions
 from parcel_engine.sinks.upsert import UpsertResult, upsert
 from parcel_engine.sources.tables import as_date, date_slice
 
@@ -65,6 +66,8 @@ def transform(
     all of its events, so a delivery also completes the facts of earlier days.
     ``scope="date"`` uses the events of each day alone.
 
+    When the days cover all of raw there is nothing to look up, and it is read as a whole.
+
     Returns the number of facts and every day whose facts may have changed.
     """
     require_utc(spark)
@@ -77,6 +80,8 @@ def transform(
         hot_order_events=hot_order_events,
     )
     days = None if dates is None else {as_date(d) for d in dates}
+    if days is not None and days >= partitions(spark, raw_table):
+        days = None
     with staging(spark) as stage:
         if scope == "date":
             slice_ = raw if days is None else date_slice(raw, days)
