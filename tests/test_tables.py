@@ -37,8 +37,9 @@ class TestTables:
         assert tables.is_partitioned(spark, table)
         tables.append(
             spark.range(1).select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in KPI if f.name != "event_date"],
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in KPI[:1]],
                 F.lit(D1).alias("event_date"),
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in KPI[2:]],
             ),
             table,
         )
@@ -48,7 +49,8 @@ class TestTables:
         table = f"{database}.t"
         df = frame(spark, [("a", D1, 1, "x")])
         tables.ensure_table(spark, table, df.schema)
-        assert tables.append(df.select("note", "seq", "event_date", "event_id"), table) == {"rows": 1}
+        turned = df.select("note", "seq", "event_date", "event_id")
+        assert tables.append(turned, table) == {"rows": 1}
         assert content(spark, table) == [("a", D1, 1, "x")]
 
     def test_empty_append(self, spark, database):
@@ -96,7 +98,8 @@ class TestTables:
 
 class TestUpsert:
     def test_update_and_insert(self, spark, target):
-        done = upsert(frame(spark, [("a", D1, 2, "new"), ("e", D2, 2, "new")]), target, ["event_id"])
+        source = frame(spark, [("a", D1, 2, "new"), ("e", D2, 2, "new")])
+        done = upsert(source, target, ["event_id"])
         assert done == (2, {D1, D2})
         assert content(spark, target) == [
             ("a", D1, 2, "new"), ("b", D1, 1, "old"), ("c", D2, 1, "old"),
