@@ -59,6 +59,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str], str]:
+    """The columns under names that clash with no others; those names by old name; their types."""
+    names = {f"_c{i}": f for i, f in enumerate(df.schema)}
+    renamed = df.select(*(F.col(f"`{f.name}`").alias(k) for k, f in names.items()))
+    kinds = ", ".join(f"{k} {f.dataType.simpleString()}" for k, f in names.items())
+    return renamed, {f.name: k for k, f in names.items()}, kinds
+
+
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:

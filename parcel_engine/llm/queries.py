@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcel_engine.llm import jaccard, licenses, packing, pfor, rules, warc, toxicity as toxic
+from parcel_engine.llm import hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, warc, toxicity as toxic
 from parcel_engine.llm.common import fold, table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hmm.hmm_scores(documents, fold("doc_id", 5) == 1)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -36,6 +41,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_known", "sentence_ids", "license", "licenses")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tiling.find_leaks(documents, table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     learned = documents.where(fold("doc_id", 3) != 1)
@@ -48,7 +58,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_warc, op4_best_fit_packing, op5_token_ids, op6_license_scan, op8_toxicity, op9_jaccard_join)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return styletree.main_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_hmm_scores, op3_warc, op4_best_fit_packing, op5_token_ids, op6_license_scan, op7_decontamination, op8_toxicity, op9_jaccard_join, op10_html_extraction)}
 
 
 #: The same results as DuckDB SQL, where SQL can express them.

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import SPACE, U64, first_of, mix, repeated, staged, windows, words
+from parcel_engine.llm.common import SPACE, U64, first_of, mix, numbered, repeated, staged, windows, words
 
 #: Labelled rows that train the list, at most; chosen by a hash of the id.
 TRAIN_ROWS = 20_000
@@ -228,3 +228,28 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN
     return statistics.withColumns(
         {"base_failed": failed, "kept": F.when(failed, F.lit(False)).otherwise(decision(rules))}
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
+              train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns; each is judged by its own text.
+
+    The list is learned from the labelled rows alone and then applied in one pass over all rows.
+    """
+    chosen = docs.select(id_column).join(labels.select(id_column), id_column, "left_semi").distinct()
+    chosen = chosen.orderBy(F.xxhash64(id_column)).limit(train_rows)
+    sample = docs.select(id_column, text_column).join(F.broadcast(chosen), id_column)
+    rules = train(staged(text_statistics(sample, id_column, text_column), "sample-statistics"), labels, id_column, train_rows)
+    renamed, names, kinds = numbered(docs)
+    text = names[text_column]
+
+    def run(batches):
+        for batch in batches:
+            parts = list(_stats(batch.column(text)))
+            if parts:
+                columns = [pa.array(np.concatenate([p[k] for p in parts]).astype(np.int64)) for k in COUNTS]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *COUNTS])
+
+    judged = renamed.mapInArrow(run, kinds + ", " + ", ".join(f"{k} long" for k in COUNTS))
+    kept = judged.where(~base_failed() & decision(rules))
+    return kept.select(*(F.col(k).alias(name) for name, k in names.items()))

@@ -19,9 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from parcel_engine.llm.common import U64, staged, words
+from parcel_engine.llm.common import U64, numbered, staged, words
 
 #: Labelled rows that train the model, at most; chosen by a hash of the id.
 TRAIN_ROWS = 12_000
@@ -166,19 +165,25 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
     return fit(terms, [docs_of[i] for i in order], rows_of["label"].to_numpy(float)[order])
 
 
-def toxicity(docs: DataFrame, model: Machine, *, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",),
-             threshold: float = THRESHOLD) -> DataFrame:
-    """The columns ``keep``, ``score`` and ``predicted``, over whole texts."""
+def toxicity(docs: DataFrame, model: Machine, *, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with ``score`` and ``predicted``, over whole texts.
+
+    Columns of these names that the documents already have are replaced.
+    """
+    docs = docs.drop("score", "predicted")
     given = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(F.col(text_column).alias("_text"), *(F.col(k) for k in keep))
+    renamed, names, kinds = numbered(docs)
+    text = names[text_column]
 
     def run(batches):
         for batch in batches:
             scores = []
-            for _, n, rows, buckets in _terms(batch.column(0)):
+            for _, n, rows, buckets in _terms(batch.column(text)):
                 scores.append(given.value.score(n, *given.value.pairs(rows, buckets)))
             score = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(score)], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
-    schema = StructType([*(source.schema[k] for k in keep), StructField("score", DoubleType())])
-    return source.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = renamed.mapInArrow(run, f"{kinds}, score double")
+    return out.select(
+        *(F.col(k).alias(name) for name, k in names.items()), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
