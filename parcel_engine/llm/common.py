@@ -208,24 +208,34 @@ def first_of(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-BITMAP_BITS = 25
+@dataclass
+class Bitmap:
+    """A Bloom filter of one hash; its size is given, whatever the number of values."""
+
+    words: np.ndarray
+    bits: int  #: log2 of its size
+
+    def may_hold(self, values: np.ndarray) -> np.ndarray:
+        """Whether each long may be among the values; never false for one that is."""
+        at = xxhash64(values) >> U64(64 - self.bits)
+        return (self.words[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def bitmap(values: DataFrame, column: str) -> np.ndarray:
-    """A one-hash Bloom filter of a long column: 2**25 bits whatever the number of rows (4 MB)."""
-    bits = (
+def bitmap(values: DataFrame, column: str, bits: int = 25) -> Bitmap:
+    """The bitmap of a column of longs: 2**bits bits, 4 MB unless told otherwise."""
+    found = (
         values.select(F.xxhash64(F.col(column).cast("long")).alias("h"))
         .selectExpr(
-            f"shiftrightunsigned(h, {64 - BITMAP_BITS + 6}) AS w",
-            f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - BITMAP_BITS}) & 63 AS INT)) AS b",
+            f"shiftrightunsigned(h, {64 - bits + 6}) AS w",
+            f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT)) AS b",
         )
         .groupBy("w")
         .agg(F.bit_or("b").alias("b"))
         .toPandas()
     )
-    out = np.zeros(1 << (BITMAP_BITS - 6), U64)
-    out[bits["w"].to_numpy(np.int64)] = bits["b"].to_numpy(np.int64).view(U64)
-    return out
+    out = np.zeros(1 << (bits - 6), U64)
+    out[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(U64)
+    return Bitmap(out, bits)
 
 
 def xxhash64(values: np.ndarray) -> np.ndarray:
@@ -240,9 +250,3 @@ def xxhash64(values: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> U64(33))) * p2
     h = (h ^ (h >> U64(29))) * p3
     return h ^ (h >> U64(32))
-
-
-def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Whether each long may be in the bitmap; never false for one that is."""
-    at = xxhash64(values) >> U64(64 - BITMAP_BITS)
-    return (bits[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1

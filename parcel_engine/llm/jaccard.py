@@ -6,10 +6,12 @@ representative. In any order of the shingles that all sets share, two sets that
 shingle among the first ``p = n - ceil(percent * n / 100) + 1`` of each, and two shingles if these
 prefixes are extended by one.
 
-* The order is: rare shingles by hash, then frequent ones by hash. Frequent are those that stand
-  in more than ``FREQUENT`` sets, as counted over all documents batch by batch (see ``_scan``), at
-  most ``MOST_FREQUENT`` of them. So a passage that many documents share leaves the prefixes of
-  all that consist mostly of other text. Which shingles count as frequent changes the work only.
+* The order is: rare shingles by hash, then frequent ones by hash. A first pass counts the shingles
+  that are among the first ``COUNTED`` of any set by hash; those of two sets or more are frequent.
+  Prefixes are filled with rare shingles first, so passages that documents share leave the
+  prefixes of all that consist mostly of other text. The frequent ones are kept in a bitmap of
+  bounded size; those it holds by chance count as frequent too, for all sets alike, which changes
+  the work only.
 * Rare shingles of the extended prefix are index keys alone. Frequent ones are in it only if most
   of a set is frequent. Sets of fewer than ``COMBINED`` shingles then use combinations of two as
   keys; larger ones, such as members of a large group of near copies, would have thousands of
@@ -30,16 +32,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, bitmap, in_bitmap, mix, staged, windows, words
+from parcel_engine.llm.common import U64, Bitmap, bitmap, mix, staged, windows, words
 from parcel_engine.llm.components import components
 
 SHINGLE = 5
 PERCENT = 80
-FREQUENT = 32
-MOST_FREQUENT = 1 << 20
+#: Percentage of a set's shingles, by hash, that are counted; more than the prefix.
+COUNTED = 25
+#: Bits of the bitmap of frequent shingles (log2), at least and at most.
+LEAST_BITS, MOST_BITS = 20, 28
 COMBINED = 100
 #: Keys with at most so many sets are compared pair by pair after the first round.
 SMALL = 32
@@ -76,16 +81,11 @@ def shingle_sets(column: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarr
 
 
 def _scan(source: DataFrame, shingle: int) -> DataFrame:
-    """Two kinds of rows: a set's size and two sums that identify it; a shingle's local count.
-
-    A shingle's count is that of the distinct sets of one batch that hold it, given if there are
-    two or more. One that stands in more sets than there are batches is counted somewhere.
-    """
+    """Each set's size, and two sums that identify it."""
 
     def run(batches):
         for batch in batches:
-            parts, all_grams, seen = list(shingle_sets(batch.column(1), shingle)), [], set()
-            for first, at, grams in parts:
+            for first, at, grams in shingle_sets(batch.column(1), shingle):
                 n = np.diff(at)
                 a = np.concatenate([np.zeros(1, U64), np.cumsum(grams, dtype=U64)])
                 b = np.concatenate([np.zeros(1, U64), np.cumsum(mix(grams), dtype=U64)])
@@ -94,39 +94,44 @@ def _scan(source: DataFrame, shingle: int) -> DataFrame:
                     [batch.column(0).slice(first, len(n)), *(pa.array(v) for v in (n.astype(np.int64), a.view(np.int64), b.view(np.int64)))],
                     ["id", "n", "a", "b"],
                 )
-                fresh = np.zeros(len(n), bool)
-                for i, key in enumerate(zip(a.tolist(), b.tolist())):
-                    fresh[i] = key not in seen
-                    seen.add(key)
-                all_grams.append(grams[np.repeat(fresh, n)])
-            if all_grams:
-                grams = np.sort(np.concatenate(all_grams))
-                cuts = np.concatenate([[0], np.flatnonzero(grams[1:] != grams[:-1]) + 1, [len(grams)]])
-                size = np.diff(cuts)
-                many = np.flatnonzero(size > 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(many), batch.column(0).type), pa.array(size[many]), pa.array(grams[cuts[many]].view(np.int64)), pa.nulls(len(many), pa.int64())],
-                    ["id", "n", "a", "b"],
-                )
 
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, n long, a long, b long")
 
 
-def _keys(source: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """(id, keys of its set as bytes)."""
+def _chosen(batch: pa.RecordBatch, bits: Bitmap) -> pa.RecordBatch:
+    """The rows whose id may be in the bitmap."""
+    ids = pc.cast(batch.column(0), pa.int64()).to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array(bits.may_hold(ids)))
+
+
+def _frequent(source: DataFrame, reps: Broadcast, shingle: int, percent: int, bits: int) -> Bitmap:
+    """Shingles that two representatives or more have among the first of theirs."""
+
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for _, at, grams in shingle_sets(_chosen(batch, reps.value).column(1), shingle):
+                n = np.diff(at)
+                most = np.maximum(-(-COUNTED * n // 100), prefix_length(n, percent) + 1)
+                parts.append(grams[np.arange(len(grams)) - np.repeat(at[:-1], n) < np.repeat(most, n)])
+            values, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, U64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int32))], ["h", "c"])
+
+    counted = source.mapInArrow(run, "h long, c int").groupBy("h").agg(F.sum("c").alias("c"))
+    return bitmap(counted.where("c > 1"), "h", bits)
+
+
+def _keys(source: DataFrame, reps: Broadcast, frequent: Bitmap, shingle: int, percent: int) -> DataFrame:
+    """(key, id) for the keys of each representative."""
     given = source.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        frequent = given.value
         for batch in batches:
+            batch = _chosen(batch, reps.value)
             for first, at, grams in shingle_sets(batch.column(1), shingle):
                 n = np.diff(at)
-                if len(frequent):
-                    near = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-                    often = frequent[near] == grams
-                else:
-                    often = np.zeros(len(grams), bool)
+                often = given.value.may_hold(grams.view(np.int64))
                 row = np.repeat(np.arange(len(n)), n)
                 order = np.lexsort((often, row))  # stable: by hash within each class
                 grams, often = grams[order], often[order]
@@ -146,26 +151,14 @@ def _keys(source: DataFrame, frequent: np.ndarray, shingle: int, percent: int) -
                             x, y = np.triu_indices(len(common), 1)
                             keys.append(mix(mix(common[x]) + common[y]))
                         own = np.concatenate(keys)
-                    out.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(out, pa.binary())], ["id", "keys"]
-                )
+                    out.append(own)
+                size = [len(o) for o in out]
+                ids = batch.column(0).slice(first, len(n)).take(pa.array(np.repeat(np.arange(len(n)), size)))
+                keys = np.concatenate(out) if out else np.zeros(0, U64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), ids], ["key", "id"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, keys binary")
-
-
-def _exploded(keys: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for s in range(0, batch.num_rows, 2000):
-                blobs = batch.column(1).slice(s, 2000).to_pylist()
-                size = np.array([len(b) // 8 for b in blobs], np.int64)
-                ids = pc.take(batch.column(0).slice(s, 2000), pa.array(np.repeat(np.arange(len(blobs)), size)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(blobs), np.int64)), ids], ["key", "id"])
-
-    kind = keys.schema["id"].dataType.simpleString()
-    return keys.select("id", "keys").mapInArrow(run, f"key long, id {kind}")
+    return source.mapInArrow(run, f"key long, id {kind}")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -227,13 +220,12 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """Whole shingle sets of the documents in ``ids``."""
+    """Whole shingle sets of the documents in ``ids``, and of a few others."""
     given = source.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
 
     def run(batches):
         for batch in batches:
-            may = in_bitmap(given.value, pc.cast(batch.column(0), pa.int64()).fill_null(0).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array(may))
+            batch = _chosen(batch, given.value)
             for first, at, grams in shingle_sets(batch.column(1), shingle):
                 blobs = [grams[s:e].tobytes() for s, e in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -242,7 +234,7 @@ def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 )
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n long, hashes binary").join(ids, "id", "left_semi")
+    return source.mapInArrow(run, f"id {kind}, n long, hashes binary")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -259,24 +251,23 @@ def _similar_size(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, shingle: int = SHINGLE,
-    percent: int = PERCENT, frequent: int = FREQUENT, most_frequent: int = MOST_FREQUENT,
+    percent: int = PERCENT,
 ) -> DataFrame:
     """Each document's id, ``n_shingles`` and ``component_id``. Ids are integers."""
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    scanned = staged(_scan(source, shingle), "shingle-scan")
-    everything = scanned.where("b is not null")
-    often = (
-        scanned.where("b is null").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") > frequent)
-        .orderBy(F.desc("n"), "a").limit(most_frequent).select("a").toPandas()["a"].to_numpy(np.int64)
-    )
+    everything = staged(_scan(source, shingle), "shingle-scan")
     real = everything.where("n > 0 and id is not null")
     groups = real.groupBy("n", "a", "b").agg(F.min("id").alias("rep"))
     copies = real.join(groups, ["n", "a", "b"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     reps = groups.select(F.col("rep").alias("id")).distinct()
 
+    context = docs.sparkSession.sparkContext
+    size = groups.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
+    bits = lambda n: min(MOST_BITS, max(LEAST_BITS, int(n).bit_length()))
+    chosen = context.broadcast(bitmap(reps, "id", bits(8 * size["sets"])))
     live = source.where("id is not null")
-    keys = _keys(live, np.sort(often.view(U64)), shingle, percent).join(reps, "id", "left_semi")
-    buckets = staged(_shared(_exploded(keys)), "jaccard-keys")
+    frequent = _frequent(live, chosen, shingle, percent, bits(size["shingles"] // 4))
+    buckets = staged(_shared(_keys(live, chosen, frequent, shingle, percent)), "jaccard-keys")
     sets = staged(_sets_of(live, buckets.select("id").distinct(), shingle), "jaccard-sets")
 
     # round one: every set with the first set under each of its keys

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import BASE, U64, bitmap, in_bitmap, mix, staged, windows, words
+from parcel_engine.llm.common import BASE, U64, bitmap, mix, staged, windows, words
 
 SEED = 5
 START = 20
@@ -125,7 +125,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id",
         for batch in batches:
             for c in words(batch.column(1), lower=True, trim=True):
                 grams, first = windows(c, c.hashes(), seed)
-                hit = in_bitmap(bits, grams.view(np.int64))
+                hit = bits.may_hold(grams.view(np.int64))
                 rows, grams = c.row_of()[first[hit]], grams[hit].view(np.int64)
                 kept, start = np.unique(rows, return_index=True)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(rows)).astype(np.int32)), pa.array(grams))
