@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcel_engine.session import session_conf
+
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
@@ -42,10 +44,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once to the shared folder; lost executors cost no recomputation."""
+def staged(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """The rows, written once to the shared folder; lost executors cost no recomputation.
+
+    ``batch_rows`` bounds the Arrow batches of Python steps whose rows are large.
+    """
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)} if batch_rows else {}
+    with session_conf(df.sparkSession, settings):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

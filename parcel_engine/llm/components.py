@@ -39,9 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
         )
         after = staged(small, "edges")
         # done when every node hangs on one root: no root has a parent, no node two
-        many = after.groupBy("b").agg(F.count("*").alias("n")).where("n > 1")
-        deep = after.join(after.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-        if many.isEmpty() and deep.isEmpty():
+        many = after.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").select("b")
+        deep = after.select("b").join(after.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        if many.union(deep).isEmpty():
             break
         now = after
     roots = after.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()

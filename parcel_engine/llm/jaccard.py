@@ -16,9 +16,12 @@ prefixes are extended by one.
   of a set is frequent. Sets of fewer than ``COMBINED`` shingles then use combinations of two as
   keys; larger ones, such as members of a large group of near copies, would have thousands of
   combinations each and use single ones; sets near that size use both, so that none is missed.
-* Sets under one key are compared in rounds: all with the first of them, then those that the
-  components found so far leave apart. A component needs no second link within itself, so a group
-  of near copies costs links in proportion to its size, not to its square.
+* All sets under one key are compared with the first of them. Keys whose sets these links leave in
+  several components are gone through again: those of few sets pair by pair, the others with the
+  next first. Keys still open are put together where they share sets; there every set that is not
+  in the largest component is compared with all others, block by block. A component needs no
+  second link within itself, so a group of near copies costs comparisons in proportion to its size
+  times those of its members that are left outside.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text of fewer
 words is one shingle of all its words; rows that share an id are one node; a row with a null id is
@@ -48,7 +51,10 @@ LEAST_BITS, MOST_BITS = 20, 28
 COMBINED = 100
 #: Keys with at most so many sets are compared pair by pair after the first round.
 SMALL = 32
-LEADER_ROUNDS = 4
+#: Sets in a block of those that are compared with all others, about.
+BLOCK = 256
+#: Rows of an Arrow batch that hold whole sets.
+SETS_BATCH = 500
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -249,6 +255,59 @@ def _similar_size(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_n.where(f"100 * ma >= {percent} * lb and 100 * mb >= {percent} * la").select("a", "b")
 
 
+def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of keys whose sets are in several components, with component, size and first set."""
+    parts = components(links).withColumnRenamed("node", "id")
+    apart = buckets.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    keys = apart.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.min("id").alias("leader")
+    ).where("low <> high")
+    return staged(apart.join(keys.select("key", "size", "leader"), "key"), "jaccard-open")
+
+
+def _links_in_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A link for each set and each component it links to, within groups of open keys that share sets."""
+    groups = components(left.select(F.col("leader").alias("a"), F.col("id").alias("b")))
+    ids = left.select("id", "component").distinct().join(groups.select(F.col("node").alias("id"), F.col("component").alias("g")), "id")
+    sizes = ids.groupBy("g", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("g").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    known = ids.join(largest, "g").select(
+        "g", "id", "component", (F.col("component") != F.col("largest")).alias("outside"),
+        blocks(F.col("n") - F.col("most")).alias("outs"), blocks(F.col("n")).alias("all"), F.xxhash64("id").alias("h"),
+    )
+    known = staged(known, "jaccard-groups")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left_side = known.where("outside").select("g", "id", "component", F.pmod("h", "outs").cast("int").alias("o"), each("all").alias("m"), F.lit(True).alias("asks"))
+    right_side = known.select("g", "id", "component", each("outs").alias("o"), F.pmod("h", "all").cast("int").alias("m"), F.lit(False).alias("asks"))
+    rows = left_side.union(right_side).join(sets.select("id", "hashes"), "id")
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        sets_of = [np.frombuffer(b.as_buffer(), np.int64) for b in table.column("hashes").combine_chunks()]
+        ids, parts = table.column("id").to_numpy(), table.column("component").to_numpy()
+        asking, others = np.flatnonzero(asks), np.flatnonzero(~asks)
+        size = np.array([len(x) for x in sets_of])
+        tokens = np.concatenate([sets_of[i] for i in others])
+        owner = np.repeat(np.arange(len(others)), size[others])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        a, b = [], []
+        for i in asking:
+            low, high = np.searchsorted(tokens, sets_of[i], "left"), np.searchsorted(tokens, sets_of[i], "right")
+            count = high - low
+            hits = owner[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            common = np.bincount(hits, minlength=len(others))
+            linked = np.flatnonzero((100 * common >= percent * (size[i] + size[others] - common)) & (parts[others] != parts[i]))
+            for j in linked[np.unique(parts[others[linked]], return_index=True)[1]]:
+                a.append(ids[i])
+                b.append(ids[others[j]])
+        return pa.table({"a": pa.array(a, table.schema.field("id").type), "b": pa.array(b, table.schema.field("id").type)})
+
+    kind = left.schema["id"].dataType.simpleString()
+    return rows.groupBy("g", "o", "m").applyInArrow(run, f"a {kind}, b {kind}")
+
+
 def jaccard_components(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, shingle: int = SHINGLE,
     percent: int = PERCENT,
@@ -274,31 +333,18 @@ def jaccard_components(
     leaders = buckets.groupBy("key").agg(F.min("id").alias("a"))
     pairs = _ordered(buckets.join(leaders, "key").select("a", F.col("id").alias("b")))
     tested = staged(_similar_size(pairs, sets, percent), "jaccard-pairs")
-    links = staged(_links(tested, sets, percent), "jaccard-links")
+    links = staged(_links(tested, sets, percent), "jaccard-links", SETS_BATCH)
     used = leaders.select("key", F.col("a").alias("id"))
-
-    for turn in range(LEADER_ROUNDS + 1):
-        parts = components(links)
-        apart = buckets.join(used, ["key", "id"], "left_anti").join(parts.withColumnRenamed("node", "id"), "id", "left")
-        apart = apart.withColumn("component", F.coalesce("component", "id"))
-        open_keys = apart.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.min("id").alias("leader")
-        ).where("low <> high")
-        left = staged(apart.join(open_keys.select("key", "size", "leader"), "key"), "jaccard-open")
-        last = turn == LEADER_ROUNDS
-        few = left if last else left.where(F.col("size") <= SMALL)
-        x, y = (few.select("key", F.col("id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
-        by_pair = x.join(y, "key").where("a < b and ca <> cb").select("a", "b")
-        many = left.where(F.col("size") > SMALL)
-        by_leader = many.select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        pairs = _ordered(by_pair if last else by_pair.union(by_leader)).join(tested, ["a", "b"], "left_anti")
-        fresh = staged(_similar_size(pairs, sets, percent), "jaccard-pairs")
-        links = staged(links.union(_links(fresh, sets, percent)), "jaccard-links")
-        if last or many.isEmpty():
-            break
-        tested = tested.union(fresh)
-        buckets = many.select("key", "id")
-        used = many.select("key", F.col("leader").alias("id")).distinct()
+    left = _open(buckets.join(used, ["key", "id"], "left_anti"), links)
+    few, many = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
+    x, y = (few.select("key", F.col("id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+    by_pair = x.join(y, "key").where("a < b and ca <> cb").select("a", "b")
+    by_leader = many.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    pairs = _ordered(by_pair.union(by_leader)).join(tested, ["a", "b"], "left_anti")
+    fresh = staged(_similar_size(pairs, sets, percent), "jaccard-pairs")
+    links = staged(links.union(_links(fresh, sets, percent)), "jaccard-links", SETS_BATCH)
+    rest = many.where(F.col("id") != F.col("leader")).select("key", "id")
+    links = links.union(_links_in_blocks(_open(rest, links), sets, percent))
 
     parts = components(links.union(copies)).select(F.col("node").alias("id"), "component")
     return everything.join(parts, "id", "left").select(
