@@ -52,7 +52,7 @@ COMBINED = 100
 #: Keys with at most so many sets are compared pair by pair after the first round.
 SMALL = 32
 #: Sets in a block of those that are compared with all others, about.
-BLOCK = 256
+BLOCK = 1024
 #: Rows of an Arrow batch that hold whole sets.
 SETS_BATCH = 500
 
