@@ -17,11 +17,11 @@ prefixes are extended by one.
   keys; larger ones, such as members of a large group of near copies, would have thousands of
   combinations each and use single ones; sets near that size use both, so that none is missed.
 * All sets under one key are compared with the first of them. Keys whose sets these links leave in
-  several components are gone through again: those of few sets pair by pair, the others with the
-  next first. Keys still open are put together where they share sets; there every set that is not
-  in the largest component is compared with all others, block by block. A component needs no
-  second link within itself, so a group of near copies costs comparisons in proportion to its size
-  times those of its members that are left outside.
+  several components are put together where they share sets, and in each such group every set
+  that is not in the largest component is compared with all others, block by block. A component
+  needs no second link within itself, so a group of near copies costs comparisons in proportion
+  to its size times those of its members that are left outside; a set is sent to as many tasks as
+  its group has blocks.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text of fewer
 words is one shingle of all its words; rows that share an id are one node; a row with a null id is
@@ -45,12 +45,10 @@ from parcel_engine.llm.components import components
 SHINGLE = 5
 PERCENT = 80
 #: Percentage of a set's shingles, by hash, that are counted; more than the prefix.
-COUNTED = 25
+COUNTED = 50
 #: Bits of the bitmap of frequent shingles (log2), at least and at most.
 LEAST_BITS, MOST_BITS = 20, 28
 COMBINED = 100
-#: Keys with at most so many sets are compared pair by pair after the first round.
-SMALL = 32
 #: Sets in a block of those that are compared with all others, about.
 BLOCK = 1024
 #: Rows of an Arrow batch that hold whole sets.
@@ -336,15 +334,7 @@ def jaccard_components(
     links = staged(_links(tested, sets, percent), "jaccard-links", SETS_BATCH)
     used = leaders.select("key", F.col("a").alias("id"))
     left = _open(buckets.join(used, ["key", "id"], "left_anti"), links)
-    few, many = left.where(F.col("size") <= SMALL), left.where(F.col("size") > SMALL)
-    x, y = (few.select("key", F.col("id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
-    by_pair = x.join(y, "key").where("a < b and ca <> cb").select("a", "b")
-    by_leader = many.select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    pairs = _ordered(by_pair.union(by_leader)).join(tested, ["a", "b"], "left_anti")
-    fresh = staged(_similar_size(pairs, sets, percent), "jaccard-pairs")
-    links = staged(links.union(_links(fresh, sets, percent)), "jaccard-links", SETS_BATCH)
-    rest = many.where(F.col("id") != F.col("leader")).select("key", "id")
-    links = links.union(_links_in_blocks(_open(rest, links), sets, percent))
+    links = links.union(_links_in_blocks(left, sets, percent))
 
     parts = components(links.union(copies)).select(F.col("node").alias("id"), "component")
     return everything.join(parts, "id", "left").select(
