@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcel_engine.llm.common import staged
-from parcel_engine.llm.tokens import encoder
+from parcel_engine.llm.tokens import TEXTS, encoder
 
 CAPACITY = 1024
 
@@ -43,8 +43,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id",
     def run(batches):
         encode = encoder(tokenizer, spaced).encode
         for batch in batches:
-            for s in range(0, batch.num_rows, 500):
-                part = batch.slice(s, 500)
+            for s in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(s, TEXTS)
                 rows, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(encode([t or "" for t in part.column(1).to_pylist()])):
                     ids += tail

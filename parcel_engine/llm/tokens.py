@@ -17,8 +17,11 @@ import numpy as np
 #: Distinct stretches a worker learns before it forgets those it has not met since the last time.
 REMEMBERED = 400_000
 
+#: Texts that are encoded together.
+TEXTS = 2000
+
 _LINES = re.compile(r"\S+(?:\n\S+)+")
-_STOPPED = re.compile(r"[A-Za-z][.,]\Z")
+_STOPS = {",", "."}
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
@@ -38,16 +41,19 @@ class Encoder:
 
     def _pieces(self, stretch: str) -> list[str]:
         """Parts that the tokenizer's rules keep apart, with the space that goes before the first."""
-        lines = stretch.split("\n") if self.spaced and _LINES.fullmatch(stretch) else [stretch]
+        lines = stretch.split("\n") if self.spaced and "\n" in stretch and _LINES.fullmatch(stretch) else (stretch,)
         out = []
         for i, line in enumerate(lines):
             if i:
                 out.append("\n")
-            lead = " " if self.spaced and not i else ""
-            if _STOPPED.search(line):
-                out += [lead + line[:-1], line[-1]]
+            elif self.spaced:
+                line = " " + line
+            # a letter, then one comma or full stop
+            if line[-1:] in _STOPS and line[-2:-1].isalpha() and line[-2].isascii():
+                out.append(line[:-1])
+                out.append(line[-1])
             else:
-                out.append(lead + line)
+                out.append(line)
         return out
 
     def _learn(self, stretches: list[str]) -> None:
@@ -59,7 +65,7 @@ class Encoder:
             at = (np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(fresh) + 1)) * 4).tolist()
             self.parts.update((s, ids[at[i] : at[i + 1]]) for i, s in enumerate(fresh))
         get = self.parts.__getitem__
-        self.known.update((s, b"".join(map(get, c))) for s, c in zip(stretches, cut))
+        self.known.update((s, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for s, c in zip(stretches, cut))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.cut(t) for t in texts]
