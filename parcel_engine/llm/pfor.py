@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel_engine.llm.common import new_folder, staged
-from parcel_engine.llm.tokens import encoder
+from parcel_engine.llm.tokens import TEXTS, encoder
 
 BLOCK = 512
 PERCENTILE = 95
 MAGIC = b"PFR1"
 _HEAD = struct.Struct("<IBHH")
 _FOOT = struct.Struct("<6Q")
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 _BITS = np.arange(32, dtype=np.uint32)
 
 
@@ -58,8 +59,11 @@ def _encode(blocks: np.ndarray, out: list[bytes], first: int) -> None:
     over = delta.astype(np.uint64) >> width[:, None].astype(np.uint64) != 0
     for w in np.unique(width):
         which = np.flatnonzero(width == w)
-        bits = (delta[which][:, :, None] >> _BITS[:w]).astype(np.uint8) & 1
-        packed = np.packbits(bits.reshape(len(which), -1), axis=1, bitorder="little")
+        if w in _WHOLE:  # whole bytes need no packing
+            packed = delta[which].astype(_WHOLE[w]).view(np.uint8).reshape(len(which), -1)
+        else:
+            bits = (delta[which][:, :, None] >> _BITS[:w]).astype(np.uint8) & 1
+            packed = np.packbits(bits.reshape(len(which), -1), axis=1, bitorder="little")
         for i, b in zip(which, packed):
             places = np.flatnonzero(over[i])
             out[first + i] = b"".join((
@@ -83,7 +87,9 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
         size = (w * n + 7) // 8
         for s in range(0, len(which), 256):
             part = which[s : s + 256]
-            if w:
+            if w in _WHOLE:
+                values = raw[body[part][:, None] + np.arange(size)].view(_WHOLE[w])
+            elif w:
                 bits = np.unpackbits(raw[body[part][:, None] + np.arange(size)], axis=1, count=w * n, bitorder="little")
                 padded = np.zeros((len(part), n, 32), np.uint8)
                 padded[:, :, :w] = bits.reshape(len(part), n, w)
@@ -186,8 +192,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, *, id_column: str =
         path = f"{folder}/shard-{context.partitionId():06d}-{context.taskAttemptId()}.pfor"
         encode = encoder(tokenizer, spaced).encode
         for batch in batches:
-            for s in range(0, batch.num_rows, 500):
-                part = batch.slice(s, 500)
+            for s in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(s, TEXTS)
                 if writer is None:
                     store, place = fs.FileSystem.from_uri(path)
                     store.create_dir(place.rpartition("/")[0], recursive=True)
