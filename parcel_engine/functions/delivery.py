@@ -52,9 +52,17 @@ def late_reason(rules: Mapping[str, Sequence[str]] = LATE_REASONS) -> Column:
 
 
 def round2(value: Column) -> Column:
-    """Two decimals, halves away from zero.
+    """Two decimals, halves away from zero."""
+    return F.round(value, 2)
 
-    The inner rounding removes the noise of adding doubles in a different order, so a
-    re-run over other partitions cannot flip a value that lies on a half.
+
+def ratio2(total: Column, parts: Column) -> Column:
+    """``total / parts`` of whole numbers with two decimals, halves away from zero; exact.
+
+    Hundredths are found by whole division, so nothing is rounded twice and the order of
+    the rows cannot matter. Null if ``parts`` is null or zero.
     """
-    return F.round(F.round(value, 9), 2)
+    wide = total.cast("decimal(28,0)")
+    below = F.nullif(parts, F.lit(0)).cast("decimal(20,0)")
+    up = F.call_function("div", F.abs(wide) * 200 + below, below * 2)
+    return F.signum(wide).cast("double") * up / 100.0

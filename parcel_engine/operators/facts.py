@@ -16,7 +16,7 @@ from parcel_engine.functions.delivery import (
     late_reason,
 )
 from parcel_engine.operators.dedup import dedup_latest
-from parcel_engine.operators.orders import HOT_ORDER_EVENTS, enrich_orders, order_summary
+from parcel_engine.operators.orders import enrich_orders, order_summary
 from parcel_engine.schemas import FACT
 from parcel_engine.session import batch_clock
 
@@ -43,7 +43,6 @@ def delivery_facts(
     late_reasons: Mapping[str, Sequence[str]] = LATE_REASONS,
     scope: str = "history",
     run_ts: datetime | None = None,
-    hot_order_events: int = HOT_ORDER_EVENTS,
     orders: DataFrame | None = None,
     deduplicated: bool = False,
 ) -> DataFrame:
@@ -71,7 +70,7 @@ def delivery_facts(
     summary = order_summary(narrow, order)
     if orders is not None:
         summary = summary.join(orders, "order_id", "left_semi")
-    enriched = enrich_orders(latest, summary, order, hot_order_events)
+    enriched = enrich_orders(latest, summary, order)
     if orders is not None:
         has_summary = F.col("is_failed").isNotNull()
         enriched = enriched.filter(has_summary | F.col("order_id").isNull())

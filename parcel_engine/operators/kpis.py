@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcel_engine.functions.delivery import DELIVERED, event_is, round2
+from parcel_engine.functions.delivery import DELIVERED, event_is, ratio2, round2
 from parcel_engine.schemas import KPI
 from parcel_engine.session import batch_clock
 
@@ -30,7 +30,7 @@ def _counts() -> list[Column]:
 
 def _rate(on_time: Column, judged: Column) -> Column:
     """Share of on-time events among those with a verdict; null if there is none."""
-    return round2(on_time / F.nullif(judged, F.lit(0)) * 100.0)
+    return ratio2(on_time * 100, judged)
 
 
 def kpi_counts(facts: DataFrame) -> DataFrame:
@@ -68,10 +68,12 @@ def duration_stats(histogram: DataFrame, percentile: float = P95) -> DataFrame:
         .withColumn("_all", F.sum("_timed").over(courier_day))
     )
     reached = F.col("_rank") >= F.ceil(F.lit(percentile) * F.col("_all"))
-    mean = F.sum(hours * F.col("_timed")) / F.nullif(F.sum("_timed"), F.lit(0))
+    # durations are whole seconds, so they are added up as whole numbers
+    seconds = F.round(hours * 3600).cast("long").cast("decimal(20,0)") * F.col("_timed")
+    mean = ratio2(F.sum(seconds), F.sum("_timed") * 3600)
     return ranked.groupBy(*DAY).agg(
         *[F.sum(c).alias(c) for c in (*_COUNTS, "_judged")],
-        round2(mean).alias("avg_duration_hours"),
+        mean.alias("avg_duration_hours"),
         round2(F.min(F.when(reached, hours))).alias("p95_duration_hours"),
     )
 

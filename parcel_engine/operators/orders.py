@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcel_engine.functions.delivery import DELIVERED, FAILED, PICKUP, event_is
-
-# An order with at least this many events is treated as hot.
-HOT_ORDER_EVENTS = 1_000_000
+from parcel_engine.operators.keys import SLICES
 
 SUMMARY = ("pickup_time", "delivery_time", "is_failed")
 
@@ -31,38 +29,21 @@ def order_summary(events: DataFrame, keys: Sequence[str] = ("order_id",)) -> Dat
 
 
 def enrich_orders(
-    events: DataFrame,
-    summary: DataFrame,
-    keys: Sequence[str] = ("order_id",),
-    hot_order_events: int = HOT_ORDER_EVENTS,
+    events: DataFrame, summary: DataFrame, keys: Sequence[str] = ("order_id",), slices: int = SLICES
 ) -> DataFrame:
     """Left join of every event to the summary of its order.
 
-    Hot orders, which the summary's own ``event_count`` reveals, are broadcast: with N
-    events in all there are at most ``N / hot_order_events`` of them. Their events (and
-    those without an order) are then spread over all partitions of the shuffle join by a
-    slice that matches nothing, so no task receives a whole hot order.
+    Events are dealt over ``slices`` parts of their order and the summary, the narrow side,
+    is repeated once per part, for all orders alike. Both sides are shuffled for this join
+    alone, so adaptive execution can split a partition further if one order dominates it.
     """
-    size = F.col("event_count")
-    found = F.struct(*SUMMARY)
-    # Same columns in the same order, so that both read one shuffle of the summary.
-    is_hot = size >= hot_order_events
-    hot = summary.filter(is_hot).select(*keys, found.alias("_hot"), is_hot.alias("_is_hot"))
-    other = summary.select(
+    part = F.pmod(F.xxhash64("event_id", "event_timestamp"), F.lit(slices)).cast("int")
+    found = summary.select(
         *keys,
-        found.alias("_other"),
-        F.when(~is_hot, F.lit(0).cast("long")).alias("_slice"),
-    )
-
-    spread = F.col("_hot").isNotNull() | F.col(keys[-1]).isNull()
-    slice_ = F.when(spread, F.xxhash64("event_id", "event_timestamp")).otherwise(F.lit(0))
-    joined = (
-        events.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_slice", slice_.cast("long"))
-        .join(other, [*keys, "_slice"], "left")
+        F.struct(*SUMMARY).alias("_found"),
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
     )
-    attached = F.coalesce("_hot", "_other")
+    joined = events.withColumn("_slice", part).join(found, [*keys, "_slice"], "left")
     return joined.select(
-        *[F.col(c) for c in events.columns],
-        *[attached[c].alias(c) for c in SUMMARY],
+        *[F.col(c) for c in events.columns], *[F.col("_found")[c].alias(c) for c in SUMMARY]
     )

@@ -12,7 +12,6 @@ from parcel_engine.functions.delivery import LATE_REASONS, SLA_HOURS
 from parcel_engine.operators.dedup import dedup_latest
 from parcel_engine.operators.facts import delivery_facts
 from parcel_engine.operators.keys import rows_with_keys
-from parcel_engine.operators.orders import HOT_ORDER_EVENTS
 from parcel_engine.schemas import FACT, conform
 from parcel_engine.session import Stage, require_utc, staging
 from parcel_engine.sinks.tables import partitions
@@ -58,7 +57,6 @@ def transform(
     scope: str = "history",
     run_ts: datetime | None = None,
     order_by: str | None = None,
-    hot_order_events: int = HOT_ORDER_EVENTS,
 ) -> UpsertResult:
     """Recompute and upsert the facts of the given days, or of all raw events.
 
@@ -77,7 +75,6 @@ def transform(
         late_reasons=late_reasons,
         scope=scope,
         run_ts=run_ts,
-        hot_order_events=hot_order_events,
     )
     days = None if dates is None else {as_date(d) for d in dates}
     if days is not None and days >= partitions(spark, raw_table):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -48,19 +47,9 @@ def batch_clock(run_ts: datetime | None) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors share one machine, may fall back
-    to a temporary folder.
-    """
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 class Stage:

@@ -6,6 +6,7 @@ runs during an overwrite may see part of it.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Sequence
 from datetime import date
 
@@ -22,6 +23,7 @@ COMPACT_BYTES = 256 * 1024 * 1024
 # Dynamic mode replaces only the partitions present in the written rows; it must be set on
 # the session because ``insertInto`` ignores the write option. Microsecond timestamps,
 # unlike the default encoding, carry the statistics that let scans skip row groups.
+_WRITING = threading.RLock()
 _WRITE_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -73,7 +75,8 @@ def insert(
     counted = df.select(*spark.table(table).columns).observe(
         written, F.count(F.lit(1)).alias("rows"), *measures
     )
-    with session_conf(spark, _WRITE_SETTINGS):
+    # the overwrite mode belongs to the session, so writers in threads take turns
+    with _WRITING, session_conf(spark, _WRITE_SETTINGS):
         counted.write.insertInto(table, overwrite=overwrite)
     return written.get
 

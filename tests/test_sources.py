@@ -161,5 +161,5 @@ class TestSharedFolder:
         assert shared_root(session) == "hdfs://x/y"
 
     def test_cluster_without_one(self):
-        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-            shared_root(self.conf({}, "yarn"))
+        session = self.conf({"spark.sql.warehouse.dir": "hdfs://x/warehouse"}, "yarn")
+        assert shared_root(session) == "hdfs://x/warehouse"
