@@ -3,12 +3,15 @@
 The library encodes every distinct stretch of text once per worker. Texts are cut where its own
 rules never join what stands on both sides: with ``spaced``, before a space that a character
 other than white space follows (byte-level BPE, where a word carries its space); without, at ASCII
-white space (tokenizers that drop white space). Stretches not seen before are cut further, at
-single line ends and before a final comma or full stop, so that the library sees fewer of them.
+white space (tokenizers that drop white space). New stretches of Latin letters and the punctuation
+after them, the bulk, are one or two words to the library's rules: they go to its merges directly,
+many in one call, with a line end between them that tells them apart. Other new stretches are cut
+at single line ends first, so that the library sees fewer of them.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 
@@ -21,15 +24,31 @@ REMEMBERED = 400_000
 TEXTS = 2000
 
 _LINES = re.compile(r"\S+(?:\n\S+)+")
-_STOPS = {",", "."}
+#: Letters, then ASCII punctuation but for the apostrophe, which contractions start with.
+_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!-&(-/:-@\[-`{-~]*").fullmatch
+_MARKS = re.compile(r"[!-&(-/:-@\[-`{-~]+").sub
 
+#: White space of ``str.split`` that is not ASCII white space.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+
+#: Byte-level alphabet: printable bytes stand for themselves, the others are numbered from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_NUMBERED = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - _PRINTABLE))}
+_ALPHABET = "".join(_NUMBERED.get(b, chr(b)) for b in range(256))
+_END = _ALPHABET[10]
+
+_SPLIT = re.compile(r"[^ \t\n\r\f\v]+").findall
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
+def _ascii_split(text: str) -> list[str]:
+    return _SPLIT(text) if _OTHER_SPACE(text) else text.split()
+
+
 class Encoder:
     def __init__(self, path: str, spaced: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
@@ -37,26 +56,43 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.cut = re.compile(r" (?=\S)").split if spaced else re.compile(r"[^ \t\n\r\f\v]+").findall
+        self.cut = re.compile(r" (?=\S)").split if spaced else _ascii_split
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+        self.end = self.merges.encode(_END, add_special_tokens=False).ids
+        self.case = self._case()
+
+    def _case(self):
+        """How the tokenizer treats capitals; None if its words do not go to the merges as they are."""
+        probes = ["a", "Tokens", "\u00c9cole", "STRA\u00dfE,", "\u00c0\u00ff\u00d6\u00d8.***"]
+        lead = " " if self.spaced else ""
+        want = [np.array(self.tokenizer.encode(lead + p, add_special_tokens=False).ids, "<u4").tobytes() for p in probes]
+        fits = (c for c in (str, str.lower) if len(self.end) == 1 and self._merged(probes, c) == want)
+        return next(fits, None)
+
+    def _merged(self, plain: list[str], case) -> list[bytes]:
+        """Ids of stretches of letters and punctuation."""
+        lead = " " if self.spaced else ""
+        raw = case(lead + f"\n{lead}".join(plain) + "\n").encode()
+        shown = _MARKS(r" \g<0>", codecs.charmap_decode(raw, "strict", _ALPHABET)[0].replace(_END, f" {_END} "))
+        found = np.array(self.merges.encode_batch_fast([shown], add_special_tokens=False)[0].ids, "<u4")
+        at, ids = (4 * np.flatnonzero(found == self.end[0])).tolist(), found.tobytes()
+        return [ids[a + 4 : b] for a, b in zip([-4, *at], at)]
 
     def _pieces(self, stretch: str) -> list[str]:
         """Parts that the tokenizer's rules keep apart, with the space that goes before the first."""
-        lines = stretch.split("\n") if self.spaced and "\n" in stretch and _LINES.fullmatch(stretch) else (stretch,)
-        out = []
-        for i, line in enumerate(lines):
-            if i:
-                out.append("\n")
-            elif self.spaced:
-                line = " " + line
-            # a letter, then one comma or full stop
-            if line[-1:] in _STOPS and line[-2:-1].isalpha() and line[-2].isascii():
-                out.append(line[:-1])
-                out.append(line[-1])
-            else:
-                out.append(line)
-        return out
+        if not self.spaced:
+            return [stretch]
+        if "\n" not in stretch or not _LINES.fullmatch(stretch):
+            return [" " + stretch]
+        first, *lines = stretch.split("\n")
+        return [" " + first, *(p for line in lines for p in ("\n", line))]
 
     def _learn(self, stretches: list[str]) -> None:
+        if self.case:
+            plain = [s for s in stretches if _PLAIN(s)]
+            self.known.update(zip(plain, self._merged(plain, self.case) if plain else ()))
+            stretches = [s for s in stretches if not _PLAIN(s)]
         cut = [self._pieces(s) for s in stretches]
         fresh = list(set().union(*cut).difference(self.parts))
         if fresh:
@@ -65,7 +101,7 @@ class Encoder:
             at = (np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(fresh) + 1)) * 4).tolist()
             self.parts.update((s, ids[at[i] : at[i + 1]]) for i, s in enumerate(fresh))
         get = self.parts.__getitem__
-        self.known.update((s, get(c[0]) if len(c) == 1 else b"".join(map(get, c))) for s, c in zip(stretches, cut))
+        self.known.update((s, b"".join(map(get, c))) for s, c in zip(stretches, cut))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.cut(t) for t in texts]
