@@ -20,6 +20,7 @@ from parcel_engine.plans.transform import transform
 from parcel_engine.settings import Settings, load_settings
 from parcel_engine.sinks.tables import compact_partitions
 from parcel_engine.sources.jdbc import jdbc_partitioned_scan
+from parcel_engine.sources.tables import as_date
 
 JOBS = ("ingest", "transform", "aggregate", "run", "compact")
 
@@ -27,23 +28,28 @@ JOBS = ("ingest", "transform", "aggregate", "run", "compact")
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="parcel_engine")
     parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--date", required=True, action="append", help="YYYY-MM-DD, repeatable")
+    parser.add_argument("--date", default=[], action="append", help="YYYY-MM-DD, repeatable")
+    parser.add_argument("--since", help="read source events after this day, YYYY-MM-DD")
     parser.add_argument("--config", help="settings file")
     parser.add_argument("--scope", choices=("history", "date"), default="history")
     parser.add_argument("--jdbc-url", default=os.environ.get("JDBC_URL"))
     parser.add_argument("--table", help="table to compact; the facts if not given")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if not args.date and args.job not in ("ingest", "run"):
+        parser.error(f"{args.job} needs --date")
+    return args
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace, settings: Settings):
     run_ts = datetime.now(timezone.utc)
     tables = settings.tables
     since, found = watermark.current(spark, tables.watermarks, run_ts, settings.lookback)
+    start = datetime.fromisoformat(args.since).replace(tzinfo=timezone.utc) if args.since else None
     source = jdbc_partitioned_scan(
         spark,
         args.jdbc_url,
         settings.source_table,
-        lower=since - settings.overlap if found else since,
+        lower=start or (since - settings.overlap if found else since),
         upper=run_ts,
         num_partitions=settings.num_partitions,
         fetch_size=settings.fetch_size,
@@ -56,9 +62,10 @@ def _ingest(spark: SparkSession, args: argparse.Namespace, settings: Settings):
         tables.raw,
         tables.watermarks,
         run_ts=run_ts,
-        run_date=args.date[-1],
+        run_date=args.date[-1] if args.date else None,
         lookback=settings.lookback,
         overlap=settings.overlap,
+        start=start,
     )
 
 
@@ -80,7 +87,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job == "compact":
         return compact_partitions(spark, args.table or tables.facts, args.date)
     added = _ingest(spark, args, settings)
-    dates = touched_dates(spark, tables.raw, added)
+    dates = touched_dates(spark, tables.raw, added) | {as_date(d) for d in args.date}
     return run_dates(spark, tables, dates, run_ts=added.run_ts, **rules).facts
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from parcel_engine.plans.aggregate import aggregate
 from parcel_engine.plans.ingest import ingest, touched_dates
 from parcel_engine.plans.transform import transform
+from parcel_engine.schemas import KPI
+from parcel_engine.sinks.tables import ensure_table, partitions
 from parcel_engine.sources.tables import as_date
 
 
@@ -40,7 +42,9 @@ def run_dates(
 ) -> RunResult:
     """Transform and aggregate a set of days in one pass; serves daily runs and backfills.
 
-    KPIs are renewed for every day whose facts changed, not just for the days asked for.
+    The days asked for have all of their events in the facts afterwards. Facts of other days
+    may change with them: KPIs of such a day are renewed if they were published before, and
+    so are complete; a day of which the facts hold only some orders is not published.
     ``options`` go to ``transform``.
     """
     days = {as_date(d) for d in dates}
@@ -49,7 +53,8 @@ def run_dates(
     done = transform(spark, tables.raw, tables.facts, days, run_ts=run_ts, **options)
     if not spark.catalog.tableExists(tables.facts):
         return RunResult(0, 0, set())
-    affected = done.dates | days
+    ensure_table(spark, tables.kpis, KPI)
+    affected = days | (done.dates & partitions(spark, tables.kpis))
     kpis = aggregate(spark, tables.facts, tables.kpis, affected, run_ts)
     return RunResult(done.rows, kpis, affected)
 

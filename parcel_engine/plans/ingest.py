@@ -34,12 +34,15 @@ def ingest(
     lookback: timedelta = watermark.LOOKBACK,
     overlap: timedelta = watermark.LOOKBACK,
     job: str = watermark.JOB,
+    start: datetime | None = None,
 ) -> IngestResult:
     """Append the source rows that are new, then advance the watermark.
 
     Without a watermark, reading starts ``lookback`` before ``run_ts``. With one, it
     starts ``overlap`` before it, so events that reach the source late are still picked
-    up; ``overlap`` of zero reads strictly newer rows only. Of what is read, copies that
+    up; ``overlap`` of zero reads strictly newer rows only. Rows that arrive later than that
+    need an explicit ``start``, which replaces both; ``watermark.EVERYTHING`` compares the
+    whole source with all of raw, so that no late row is lost. Of what is read, copies that
     the raw table already holds are left out (``EXCEPT ALL``: counted, so equal rows of
     one batch all stay, and added up before the shuffle). A repeated run adds nothing.
 
@@ -54,6 +57,8 @@ def ingest(
     run_ts = instant(run_ts or datetime.now(timezone.utc))
     mark, found = watermark.current(spark, watermark_table, run_ts, lookback, job)
     since = mark - overlap if found else mark
+    if start is not None:
+        since = instant(start)
     raw = ensure_table(spark, raw_table, RAW)
     new = conform(incremental_scan(source, since), SOURCE)
     if days_from(spark, raw_table, since):

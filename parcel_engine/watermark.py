@@ -13,6 +13,8 @@ from parcel_engine.sinks.tables import append, ensure_table
 
 JOB = "ingest_delivery_events"
 LOOKBACK = timedelta(days=3)
+#: A start before all events.
+EVERYTHING = datetime(1900, 1, 1, tzinfo=timezone.utc)
 
 
 def latest_watermark(log: DataFrame, job: str = JOB) -> DataFrame:

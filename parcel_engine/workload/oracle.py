@@ -193,8 +193,7 @@ ORACLE: dict[str, str] = {
     ),
     "compact_partitions": _ALL_RAW,
     "empty_batch_noop": _with(
-        select="SELECT count(*) AS raw_rows, CAST(1 AS BIGINT) AS runs FROM mapped "
-        f"WHERE event_timestamp > {RUN_TS} - INTERVAL 3 DAY"
+        select="SELECT count(*) AS raw_rows, CAST(1 AS BIGINT) AS runs FROM mapped"
     ),
     "upsert_facts": _UPSERTED,
     "upsert_idempotent": _UPSERTED,
@@ -247,9 +246,8 @@ ORACLE: dict[str, str] = {
     "aggregate_all_days": _ALL_KPIS,
     "backfill_range": _with(
         _facts("raw", "facts"),
-        _touched(DAYS),
-        _kpis("touched", "kpis"),
-        select="SELECT * FROM kpis",
+        _kpis("facts", "kpis"),
+        select=f"SELECT * FROM kpis WHERE event_date IN ({DAYS})",
     ),
     "backfill_range_by_date": _with(
         f"slice AS (SELECT * FROM raw WHERE event_date IN ({DAYS}))",
@@ -263,8 +261,7 @@ ORACLE: dict[str, str] = {
         select="SELECT * FROM kpis",
     ),
     "daily_runs": _with(
-        _TWO_RUNS,
-        _facts("ingested", "facts"),
+        _facts("raw", "facts"),
         _kpis("facts", "kpis"),
         select="SELECT * EXCLUDE (_aggregated_at) FROM kpis",
     ),

@@ -249,10 +249,11 @@ def compacted_partitions(spark, sf_dir):
 def empty_batch(spark, sf_dir):
     raw, log = fresh_table(spark, "noop_raw"), fresh_table(spark, "noop_log")
     source = source_rows(spark, sf_dir)
-    ingest(spark, source, raw, log, RUN_TS, overlap=timedelta(0))
-    ingest(spark, source, raw, log, RUN_TS, overlap=timedelta(0))
-    runs = spark.table(log).agg(F.count(F.lit(1)).alias("runs"))
-    return spark.table(raw).agg(F.count(F.lit(1)).alias("raw_rows")).crossJoin(runs)
+    ingest(spark, source, raw, log, RUN_TS, start=watermark.EVERYTHING)
+    ingest(spark, source, raw, log, RUN_TS, start=watermark.EVERYTHING)
+    rows = spark.table(raw).select(F.lit(1).alias("raw_rows"), F.lit(0).alias("runs"))
+    runs = spark.table(log).select(F.lit(0).alias("raw_rows"), F.lit(1).alias("runs"))
+    return rows.union(runs).agg(F.sum("raw_rows").alias("raw_rows"), F.sum("runs").alias("runs"))
 
 
 def _tight_then_late(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -418,5 +419,6 @@ def daily_runs(spark, sf_dir):
     source = source_rows(spark, sf_dir)
     month = {"lookback": timedelta(days=30)}
     run_daily(spark, _first_source(source), tables, WATERMARK_TS, ingest_options=month)
-    run_daily(spark, source, tables, RUN_TS)
+    every = {"start": watermark.EVERYTHING}
+    run_daily(spark, source, tables, RUN_TS, ingest_options=every)
     return spark.table(tables.kpis).drop("_aggregated_at")
