@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, staged, words
+from parcel_engine.llm.common import U64, lowest, staged, words
 
 STATES = 8
 OWN = 8192
@@ -288,7 +288,7 @@ def hmm_scores(docs: DataFrame, held_out, *, id_column: str = "doc_id", text_col
     prior = vocab.totals / vocab.totals.sum()
 
     learned = encoded.where(~F.col("held_out"))
-    sample = learned.select("classes", "key").orderBy(F.xxhash64("key")).limit(SAMPLE_ROWS).select("classes").toPandas()
+    sample = lowest(learned.select("classes", "key"), F.xxhash64("key"), SAMPLE_ROWS).select("classes").toPandas()
     model = first_guess([np.frombuffer(b, "<u2").astype(np.int64) for b in sample["classes"]], prior, states, SAMPLE_ITERATIONS)
     for _ in range(iterations):
         model = _iteration(learned, model, prior)

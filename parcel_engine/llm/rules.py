@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import SPACE, U64, first_of, mix, numbered, repeated, staged, windows, words
+from parcel_engine.llm.common import SPACE, U64, first_of, lowest, mix, numbered, repeated, staged, windows, words
 
 #: Labelled rows that train the list, at most; chosen by a hash of the id.
 TRAIN_ROWS = 20_000
@@ -195,14 +195,12 @@ def train(statistics: DataFrame, labels: DataFrame, id_column: str = "doc_id", r
     known = labels.where(F.col("quality").isNotNull() & F.col(id_column).isNotNull())
     known = known.groupBy(id_column).agg(F.min("quality").alias("_quality"))
     x = features()
-    sample = (
+    labelled = (
         statistics.where(~base_failed())
         .join(known, id_column)
         .select("_quality", F.xxhash64(id_column).alias("_order"), *(x[k].alias(k) for k in x))
-        .orderBy("_order", *x)
-        .limit(rows)
-        .toPandas()
     )
+    sample = lowest(labelled, F.col("_order"), rows, *x).toPandas()
     bad = sample["_quality"].to_numpy() == 0
     return learn_rules({k: sample[k].to_numpy(float) for k in x}, bad) if len(bad) else []
 
@@ -237,7 +235,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id",
     The list is learned from the labelled rows alone and then applied in one pass over all rows.
     """
     chosen = docs.select(id_column).join(labels.select(id_column), id_column, "left_semi").distinct()
-    chosen = chosen.orderBy(F.xxhash64(id_column)).limit(train_rows)
+    chosen = lowest(chosen, F.xxhash64(id_column), train_rows)
     sample = docs.select(id_column, text_column).join(F.broadcast(chosen), id_column)
     rules = train(staged(text_statistics(sample, id_column, text_column), "sample-statistics"), labels, id_column, train_rows)
     renamed, names, kinds = numbered(docs)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, numbered, staged, words
+from parcel_engine.llm.common import U64, lowest, numbered, staged, words
 
 #: Labelled rows that train the model, at most; chosen by a hash of the id.
 TRAIN_ROWS = 12_000
@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
         .groupBy(id_column).agg(F.max("toxic").alias("_toxic"))
     )
     # ids alone are ordered and limited; at most `rows` of them are sent to the tasks
-    chosen = docs.select(id_column).join(known, id_column).orderBy(F.xxhash64(id_column)).limit(rows)
+    chosen = lowest(docs.select(id_column).join(known, id_column), F.xxhash64(id_column), rows)
     sample = docs.select(id_column, F.col(text_column).alias("text")).join(F.broadcast(chosen), id_column)
 
     def terms_of(batches):

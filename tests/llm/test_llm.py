@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parcel_engine.llm import hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
-from parcel_engine.llm.common import fold, new_folder
+from parcel_engine.llm.common import fold, lowest, new_folder
 from parcel_engine.llm.tokens import Encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -258,6 +258,13 @@ def test_extraction(spark):
     assert out == {0: "T & t one two x three", 1: "", 2: "", 3: "a b"} | {10 + k: f"Own text {k}" for k in range(6)}
 
 
+@pytest.mark.parametrize("rows", [0, 7, 300, 5000])
+def test_sample_is_that_of_a_full_sort(spark, rows):
+    many = spark.range(4000, numPartitions=8)
+    want = [r.id for r in many.orderBy(F.xxhash64("id")).limit(rows).collect()]
+    assert [r.id for r in lowest(many, F.xxhash64("id"), rows).collect()] == want
+
+
 def test_empty_tables(spark, docs, labels):
     none, items = docs.limit(0), spark.createDataFrame([], "item_id long, text string")
     byte = public_tokenizers.path("byte_bpe_50k.json")
