@@ -24,16 +24,23 @@ class History:
 
     ``events`` holds the latest version of every event that was ever in such an order.
     Some of those have moved on to another order, of which the rest is not read.
+
+    Ids and days of all raw rows are read once, without copies, for the lookups; the other
+    columns are read of ``days`` alone, which hold every version of these events.
     """
 
     def __init__(self, raw: DataFrame, dates: Iterable[date], stage: Stage):
         touched = date_slice(raw, dates).select("event_id").distinct()
-        pairs = raw.select("event_id", "order_id")
+        places = stage.keep(raw.select("event_id", "order_id", "event_date").distinct())
         # An event moved to another order by a correction touches both orders.
-        orders = rows_with_keys(pairs, touched, "event_id").select("order_id").distinct()
+        orders = rows_with_keys(places, touched, "event_id").select("order_id").distinct()
         self.orders = stage.keep(orders)
-        members = rows_with_keys(pairs, self.orders, "order_id").select("event_id")
-        related = members.unionByName(touched).distinct()
+        members = rows_with_keys(places, self.orders, "order_id").select("event_id")
+        related = stage.keep(members.unionByName(touched).distinct())
+        days = rows_with_keys(places, related, "event_id").select("event_date").distinct()
+        self.days = {r["event_date"] for r in days.collect()}
+        if None not in self.days:
+            raw = date_slice(raw, self.days)
         self.events = stage.keep(dedup_latest(rows_with_keys(raw, related, "event_id")))
 
 
@@ -79,6 +86,7 @@ def transform(
     days = None if dates is None else {as_date(d) for d in dates}
     if days is not None and days >= partitions(spark, raw_table):
         days = None
+    target_days = None
     with staging(spark) as stage:
         if scope == "date":
             slice_ = raw if days is None else date_slice(raw, days)
@@ -87,6 +95,8 @@ def transform(
             facts = delivery_facts(raw, **options)
         else:
             history = History(raw, days, stage)
+            # a fact lies on the day of some version of its event
+            target_days = history.days
             facts = delivery_facts(
                 history.events, orders=history.orders, deduplicated=True, **options
             )
@@ -96,4 +106,5 @@ def transform(
             keys=["event_id"],
             order_by=order_by,
             check_unique=False,
+            target_days=target_days,
         )

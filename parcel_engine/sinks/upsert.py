@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -17,6 +17,7 @@ from parcel_engine.sinks.tables import (
     drop_partitions,
     ensure_table,
     insert,
+    partitions,
     row_counts,
 )
 from parcel_engine.sources.tables import date_slice
@@ -33,6 +34,7 @@ def upsert(
     keys: Sequence[str],
     order_by: str | None = None,
     check_unique: bool = True,
+    target_days: Iterable[date] | None = None,
 ) -> UpsertResult:
     """Merge ``source`` into ``table``, which is partitioned by ``event_date``.
 
@@ -44,21 +46,30 @@ def upsert(
     Returns the number of source rows applied and the days whose content may have changed.
 
     The source is computed once, into a staged table. Of the target, only keys and days
-    are read to find the matches; only days that hold a match are rewritten, and rows
-    for other days are appended. A day left without rows is dropped.
+    are read to find the matches, and where the caller knows the ``target_days`` that may
+    hold one, only of these; only days that hold a match are rewritten, and rows
+    for other days are appended. A day left without rows is dropped. Into an empty table
+    a source that needs no check is written directly.
 
     The order is append, rewrite, drop: after a crash in between, moved rows may be there
     twice until the same source is run again, which finds both copies and repairs them.
+    A rewrite replaces the folder of a day: a crash between the removal of the old folder
+    and the move of the new one loses rows of that day that are not in the source.
     """
     keys = list(keys)
     spark = source.sparkSession
     with staging(spark) as stage:
+        if not spark.catalog.tableExists(table):
+            ensure_table(spark, table, source.schema)
+        if not check_unique and not partitions(spark, table):
+            rows = append(_with_days(source), table)["rows"]
+            return UpsertResult(rows, partitions(spark, table))
         staged = stage.keep(source)
         if check_unique:
             _require_unique(staged, keys)
-        if not spark.catalog.tableExists(table):
-            ensure_table(spark, table, source.schema)
         target = spark.table(table)
+        if target_days is not None:
+            target = date_slice(target, target_days)
         if order_by is not None:
             staged = stage.keep(_not_older(staged, target, keys, order_by))
         incoming = row_counts(staged)
@@ -71,6 +82,12 @@ def upsert(
     return UpsertResult(sum(incoming.values()), matched | set(incoming))
 
 
+def _with_days(source: DataFrame) -> DataFrame:
+    """The source; writing it fails on a row without a day."""
+    missing = F.raise_error(F.lit(f"{PARTITION} must not be null")).cast("date")
+    return source.withColumn(PARTITION, F.coalesce(PARTITION, missing))
+
+
 def _require_unique(source: DataFrame, keys: list[str]) -> None:
     complete = source.filter(_complete(keys))
     repeated = complete.groupBy(*keys).count().filter(F.col("count") > 1).limit(3)
@@ -121,10 +138,13 @@ def _match_days(
     """Days of the target that hold a matched row, and those where every row is matched."""
     if PARTITION in keys:
         target = date_slice(target, incoming)
-    pairs = _spread(target.select(*dict.fromkeys([*keys, PARTITION])), keys)
-    hits = _key_rows(source, keys).withColumn("_hit", F.lit(True))
+    rows = target.select(*dict.fromkeys([*keys, PARTITION]))
+    hits = source.select(*keys).filter(_complete(keys)).withColumn("_hit", F.lit(True))
+    found = rows.filter(_complete(keys)).join(hits, keys, "left").select(PARTITION, "_hit")
+    # rows with a null key match nothing and stay out of the join
+    others = rows.filter(~_complete(keys)).select(PARTITION, F.lit(None).cast("boolean").alias("_hit"))
     days = (
-        pairs.join(hits, [*keys, "_spread"], "left")
+        found.unionByName(others)
         .groupBy(PARTITION)
         .agg(F.count("_hit").alias("hits"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("hits") > 0)

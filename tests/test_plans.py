@@ -1,13 +1,15 @@
 """Shapes of physical plans that decide how the work spreads over a cluster."""
 
 import re
+from datetime import date
 
 import pytest
 from fixtures import four_orders
 
 from parcel_engine.operators import courier_daily_kpis, dedup_latest, delivery_facts
 from parcel_engine.operators.keys import rows_with_keys
-from parcel_engine.session import session_conf
+from parcel_engine.plans.transform import History
+from parcel_engine.session import session_conf, staging
 
 SETTINGS = {
     "spark.sql.maxMetadataStringLength": "10000",
@@ -83,3 +85,16 @@ def test_key_lookup_takes_only_the_keys(spark):
     keys = raw.filter("event_type = 'failed'").select("order_id").distinct()
     got = {r["event_id"] for r in rows_with_keys(raw, keys, "order_id").collect()}
     assert got == {"evt-006", "evt-007"}
+
+
+def test_history_reads_wide_rows_of_the_days_found_alone(shuffled, database):
+    table = f"{database}.raw"
+    four_orders(shuffled).write.partitionBy("event_date").saveAsTable(table)
+    raw = shuffled.table(table)
+    with staging(shuffled) as stage:
+        kept = []
+        stage.keep = lambda df, keep=stage.keep: kept.append(planned(df)) or keep(df)
+        history = History(raw, [date(2024, 1, 15)], stage)
+        assert history.days <= {r[0] for r in raw.select("event_date").distinct().collect()}
+        wide = [line for line in kept[-1].splitlines() if "FileScan" in line and "notes" in line]
+        assert wide and all(re.search(r"PartitionFilters: \[[^\]]*event_date", line) for line in wide)
