@@ -7,15 +7,17 @@ that leads to it. A node's importance comes from what its pages have there, with
 * content: one minus the mean entropy, to the base m, of its blocks of text. A block that n of the
   m pages share has the entropy log(n) / log(m): 0 if it is one page's own, 1 if all have it.
 
-``PRESENTATION`` of the first and the rest of the second make the importance. A node below
-``IMPORTANCE`` is cut from every page, with its branch. Where markup already says what a node is,
-that decides beforehand: the kinds listed as fixed values below (menus, adverts, ...) have no
-importance, ``article`` or ``main`` and what they hold has full importance, and in a page that has
-them the rest has none. Nodes that one or two pages have cannot be compared and stay.
+``PRESENTATION`` of the first and the rest of the second make the importance, of all pages of the
+host, also of those that mark their article. Nodes that one or two pages have cannot be compared
+and have ``NEUTRAL``. Markup only shifts it, page by page: listed tags, roles and class or id names
+lower it by ``MARKED``, names with a listed word among others by ``HINTED``; what ``article`` or
+``main`` hold gains ``INSIDE``, and in a page that has them text elsewhere loses ``OUTSIDE``. A node
+below ``IMPORTANCE`` is cut from the page, with its branch. Names do not lower a node that holds an
+article, or most of the text of a page without one. Hidden elements are never read.
 
 Defined cases: null and empty html give an empty text; unclosed and stray tags are read as a
-browser would, roughly; an unclosed comment, script or style runs to the end; rows that repeat a
-page count as pages; a null url or one without a host belongs to the host "".
+browser would, roughly; an unclosed comment, script or style runs to the end; pages of a host that say
+the same count once; a null url or one without a host belongs to the host "".
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import html as entities
 import re
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,7 +36,13 @@ from parcel_engine.llm.common import staged
 
 PRESENTATION = 0.1
 IMPORTANCE = 0.4
-#: Pages that must have a node before it can be unimportant.
+NEUTRAL = 0.8
+#: What markup takes from the importance of a node, or adds to it.
+MARKED = -0.7
+HINTED = -0.5
+INSIDE = 0.2
+OUTSIDE = -0.45
+#: Pages that must have a node before it is compared.
 LEAST_PAGES = 3
 
 # Kinds of markup.
@@ -55,6 +64,11 @@ NOISE_WORDS = set(
 )
 NOISE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 
+#: A name that starts with one of these speaks of something else on the page.
+MODIFIERS = set("has no not with without category tag".split())
+#: Elements that may wrap whole pages, so that they count as names do.
+WRAPPERS = {"form"}
+
 _TAG = re.compile(
     r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
@@ -63,50 +77,81 @@ _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     path: int  #: hash of the tags and classes that lead here
-    noise: bool
-    main: bool
-    branch: tuple[int, ...] = ()
+    above: Node | None = None
+    hidden: bool = False  #: or within a hidden node
+    marked: float = 0.0  #: what its own markup takes from its importance
+    by_name: bool = False  #: its mark is one of its names, not of its tag or role
+    outcast: bool = False  #: it or a node above is marked, by more than a hint
+    aside: bool = False  #: it or a node above is marked by tag or role
+    holds: bool = False  #: it has an article in it, or is one
+    chars: int = 0  #: of text in it that is neither hidden nor aside
+    main: bool = False
+    shift: float = 0.0  #: what markup adds to its importance
+    branch: tuple[Node, ...] = ()
     children: list[str] = field(default_factory=list)
 
 
 @dataclass
 class Page:
-    #: (path hashes of the node and those above it, noise, within an article, text)
-    blocks: list[tuple[tuple[int, ...], bool, bool, str]] = field(default_factory=list)
+    #: (the node it stands in, text)
+    blocks: list[tuple[Node, str]] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
     has_main: bool = False
 
 
-def _kind(tag: str, attributes: str) -> tuple[str, bool]:
-    """Classes of an element, and whether its markup marks it as no content."""
-    noise, classes = tag in NOISE_TAGS, ""
+def _kind(tag: str, attributes: str) -> tuple[str, bool, float, bool]:
+    """Classes of an element, whether it is hidden, how its markup lowers it, and whether by name."""
+    hidden, marked, named, classes = False, MARKED if tag in NOISE_TAGS else 0.0, 0.0, ""
     if not attributes.strip(" /\n\t"):
-        return classes, noise
+        return classes, hidden, marked, tag in WRAPPERS
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
             if name == "class":
                 classes = " ".join(sorted(value.split()))
-            parts = {w.lower() for w in _WORD.findall(value)}
-            noise |= tag not in ("html", "body") and bool(parts & NOISE_WORDS)
+            if tag not in ("html", "body", "article", "main"):
+                for one in value.split():
+                    parts = [w.lower() for w in _WORD.findall(one)]
+                    if one.lower() in NOISE_WORDS:
+                        named = MARKED
+                    elif not NOISE_WORDS.isdisjoint(parts) and parts[0] not in MODIFIERS:
+                        named = min(named, HINTED)
         elif name == "role":
-            noise |= value.strip().lower() in NOISE_ROLES
+            if value.strip().lower() in NOISE_ROLES:
+                marked = MARKED
         elif name == "hidden" or name == "aria-hidden" and value == "true":
-            noise = True
+            hidden = True
         elif name == "style":
-            noise |= "display:none" in re.sub(r"\s", "", value.lower())
-    return classes, noise
+            hidden |= "display:none" in re.sub(r"\s", "", value.lower())
+    by_name = not marked or tag in WRAPPERS
+    return classes, hidden, min(marked, named), by_name
+
+
+def _settle(page: Page, nodes: list[Node]) -> None:
+    """Give each node its shift, now that it is known what it holds."""
+    total = 0
+    for node, text in page.blocks:
+        if not node.hidden and not node.aside:
+            total += len(text)
+            for n in node.branch:
+                n.chars += len(text)
+    for n in nodes:
+        n.main = not n.marked and not n.hidden and (n.above.main or n.holds and n.tag in ("article", "main"))
+        n.shift = n.marked + INSIDE * n.main
+        page.has_main |= n.main
 
 
 def parse(html: str) -> Page:
     """The blocks of text of a page in page order, with where they stand."""
     page = Page()
-    stack = [Node("", 0, False, False)]
-    known: dict[tuple[int, str, str], tuple[int, bool]] = {}
+    stack = [Node("", 0)]
+    stack[0].branch = (stack[0],)
+    opened: list[Node] = []
+    known: dict[tuple[int, str, str], tuple[int, bool, float, bool]] = {}
     pieces: list[str] = []
     at, size = 0, len(html)
 
@@ -115,8 +160,7 @@ def parse(html: str) -> Page:
             text = " ".join("".join(pieces).split())
             pieces.clear()
             if text:
-                node = next(n for n in reversed(stack) if n.tag in BLOCK or not n.tag)
-                page.blocks.append((node.branch, stack[-1].noise, stack[-1].main, text))
+                page.blocks.append((stack[-1], text))
 
     def close(index: int) -> None:
         if any(n.tag in BLOCK for n in stack[index:]):
@@ -181,58 +225,85 @@ def parse(html: str) -> Page:
         above = stack[-1]
         key = (above.path, tag, attributes)
         if key not in known:
-            classes, noise = _kind(tag, attributes)
-            known[key] = (xxhash.xxh64_intdigest(f"{above.path}>{tag}.{classes}") - (1 << 63), noise)
-        path, noise = known[key]
-        noise |= above.noise
-        main = not noise and (above.main or tag in ("article", "main"))
-        page.has_main |= main
-        branch = (*above.branch, path) if tag in BLOCK else above.branch
+            classes, *marks = _kind(tag, attributes)
+            known[key] = (xxhash.xxh64_intdigest(f"{above.path}>{tag}.{classes}") - (1 << 63), *marks)
+        path, hidden, marked, by_name = known[key]
         above.children.append(tag)
-        node = Node(tag, path, noise, main, branch)
+        node = Node(tag, path, above, hidden or above.hidden, marked, by_name)
+        node.outcast = above.outcast or marked == MARKED
+        node.aside = above.aside or marked < 0 and not by_name
+        node.branch = (*above.branch, node) if tag in BLOCK or marked else above.branch
         stack.append(node)
-        if tag in BLOCK and not noise:
+        opened.append(node)
+        # an article among comments or in a side bar is not the page's
+        if tag in ("article", "main") and not node.hidden and not node.aside and (tag == "main" or not node.outcast):
+            for n in stack:
+                n.holds = True
+        if tag in BLOCK and not node.hidden:
             page.nodes.append(node)
     flush()
+    _settle(page, opened)
     return page
 
 
-def extract(page: Page, unimportant: set[int]) -> str:
+def extract(page: Page, importance: dict[int, float]) -> str:
     """The page's text without branches of no importance."""
-    return " ".join(
-        text for branch, noise, main, text in page.blocks
-        if not noise and (main if page.has_main else unimportant.isdisjoint(branch))
-    )
+    seen: dict[Node, bool] = {}
+
+    def stays(node: Node) -> bool:
+        if node not in seen:
+            below = node.branch[-1]
+            own = importance.get(below.path, NEUTRAL) + (0.0 if node.main or not page.has_main else OUTSIDE) + below.shift >= IMPORTANCE
+            seen[node] = own and all(importance.get(n.path, NEUTRAL) + n.shift >= IMPORTANCE for n in node.branch)
+        return seen[node]
+
+    return " ".join(text for node, text in page.blocks if not node.hidden and stays(node))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_host", F.lower(F.coalesce(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit(""))))
 
 
+def _features(page: Page) -> tuple[int, np.ndarray]:
+    """A digest of what the page says, and its distinct (path, kind, feature)."""
+    digest = xxhash.xxh64()
+    found = {(n.path, 0, xxhash.xxh64_intdigest(" ".join(n.children)) - (1 << 63)) for n in page.nodes}
+    for node, text in page.blocks:
+        if node.hidden:
+            continue
+        found.add((node.branch[-1].path, 1, xxhash.xxh64_intdigest(text) - (1 << 63)))
+        if node.main if page.has_main else not any(n.marked for n in node.branch):
+            digest.update(f"{node.branch[-1].path} {len(text)} {text}")
+    return digest.intdigest() - (1 << 63), np.array(sorted(found), "<i8").reshape(-1, 3)
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of the nodes that markup alone does not decide."""
+    """(host, path, pages, importance) of all nodes of each host's pages."""
     source = _with_host(pages).select("_host", "html")
 
     def run(batches):
         for batch in batches:
-            hosts, paths, kinds, features = [], [], [], []
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                page = parse(html or "")
-                if page.has_main:
-                    continue  # markup decides about all of its nodes
-                found = {(n.path, 0, xxhash.xxh64_intdigest(" ".join(n.children)) - (1 << 63)) for n in page.nodes}
-                found |= {(branch[-1], 1, xxhash.xxh64_intdigest(text) - (1 << 63)) for branch, noise, _, text in page.blocks if branch and not noise}
-                for path, kind, feature in found:
-                    hosts.append(host)
-                    paths.append(path)
-                    kinds.append(kind)
-                    features.append(feature)
+            digests, features = [], []
+            for html in batch.column(1).to_pylist():
+                digest, found = _features(parse(html or ""))
+                digests.append(digest)
+                features.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(kinds, pa.int32()), pa.array(features, pa.int64())],
+                [batch.column(0), pa.array(digests, pa.int64()), pa.array(features, pa.binary())], ["host", "digest", "features"]
+            )
+
+    def spread(batches):
+        for batch in batches:
+            found = [np.frombuffer(b, "<i8").reshape(-1, 3) for b in batch.column(1).to_pylist()]
+            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            path, kind, feature = np.concatenate(found or [np.zeros((0, 3), "<i8")]).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows)), pa.array(path), pa.array(kind.astype(np.int32)), pa.array(feature)],
                 ["host", "path", "kind", "feature"],
             )
 
-    rows = source.mapInArrow(run, "host string, path long, kind int, feature long")
+    once = source.mapInArrow(run, "host string, digest long, features binary")
+    rows = once.select("host", "features").mapInArrow(spread, "host string, path long, kind int, feature long")
     counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     nodes = counted.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
@@ -248,24 +319,26 @@ def style_tree(pages: DataFrame) -> DataFrame:
     importance = F.when(
         F.col("m") >= LEAST_PAGES,
         PRESENTATION * presentation + (1 - PRESENTATION) * F.coalesce(content, F.lit(1.0)),
-    ).otherwise(1.0)
+    ).otherwise(NEUTRAL)
     return nodes.where("m is not null").select("host", "path", F.col("m").alias("pages"), importance.alias("importance"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, ``text`` and ``n_chars`` of every page (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
-    tree = staged(style_tree(pages), "style-tree")
+    tree = staged(style_tree(pages).where(F.col("pages") >= LEAST_PAGES), "style-tree")
     # a host has as many paths as its templates have; they are joined, not sent to all tasks
-    cut = tree.where(F.col("importance") < IMPORTANCE).groupBy("host").agg(F.collect_list("path").alias("cut"))
-    joined = _with_host(pages).join(cut.withColumnRenamed("host", "_host"), "_host", "left").select("page_id", "url", "html", "cut")
+    known = tree.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("path", "importance")).alias("known"))
+    joined = _with_host(pages).join(known, "_host", "left").select(
+        "page_id", "url", "html", F.col("known.path").alias("paths"), F.col("known.importance").alias("values")
+    )
     kind = joined.schema["page_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             texts = []
-            for html, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                texts.append(extract(parse(html or ""), set(paths or ())))
+            for html, paths, values in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                texts.append(extract(parse(html or ""), dict(zip(paths or (), values or ()))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"],

@@ -258,6 +258,18 @@ def test_extraction(spark):
     assert out == {0: "T & t one two x three", 1: "", 2: "", 3: "a b"} | {10 + k: f"Own text {k}" for k in range(6)}
 
 
+def extracted(spark, pages):
+    rows = [(i, "http://h/", html) for i, html in enumerate(pages)]
+    out = styletree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r.page_id: r.text for r in out.collect()}
+
+
+def test_style_tree_judges_pages_with_an_article(spark):
+    page = "<body><div class=lead>Lead of page {}</div><article><p class=text>Own text {}</p><div class=end>Same end</div></article>"
+    texts = extracted(spark, [page.format(k, k) for k in range(6)])
+    assert texts == {k: f"Lead of page {k} Own text {k}" for k in range(6)}
+
+
 @pytest.mark.parametrize("rows", [0, 7, 300, 5000])
 def test_sample_is_that_of_a_full_sort(spark, rows):
     many = spark.range(4000, numPartitions=8)
