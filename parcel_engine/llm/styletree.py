@@ -302,7 +302,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 ["host", "path", "kind", "feature"],
             )
 
-    once = source.mapInArrow(run, "host string, digest long, features binary")
+    # pages that say the same are one page; tasks leave out their own repetitions before they send
+    once = source.mapInArrow(run, "host string, digest long, features binary").groupBy("host", "digest").agg(F.min("features").alias("features"))
     rows = once.select("host", "features").mapInArrow(spread, "host string, path long, kind int, feature long")
     counted = rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("n"))
     nodes = counted.groupBy("host", "path").agg(

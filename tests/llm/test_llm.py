@@ -270,6 +270,13 @@ def test_style_tree_judges_pages_with_an_article(spark):
     assert texts == {k: f"Lead of page {k} Own text {k}" for k in range(6)}
 
 
+def test_copies_are_no_boilerplate(spark):
+    page = "<body><div class=text><p>{}</p></div>"
+    texts = ["Copied article"] * 8 + [f"Own text {k}" for k in range(4)]
+    assert extracted(spark, [page.format(t) for t in texts]) == dict(enumerate(texts))
+    assert extracted(spark, [page.format("Copied article")] * 3) == dict.fromkeys(range(3), "Copied article")
+
+
 @pytest.mark.parametrize("rows", [0, 7, 300, 5000])
 def test_sample_is_that_of_a_full_sort(spark, rows):
     many = spark.range(4000, numPartitions=8)
