@@ -139,7 +139,10 @@ def _settle(page: Page, nodes: list[Node]) -> None:
             total += len(text)
             for n in node.branch:
                 n.chars += len(text)
+    has_article = any(n.holds for n in nodes)
     for n in nodes:
+        if n.marked and n.by_name and (n.holds or not has_article and 2 * n.chars > total):
+            n.marked = 0.0
         n.main = not n.marked and not n.hidden and (n.above.main or n.holds and n.tag in ("article", "main"))
         n.shift = n.marked + INSIDE * n.main
         page.has_main |= n.main

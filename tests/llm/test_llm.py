@@ -277,6 +277,12 @@ def test_copies_are_no_boilerplate(spark):
     assert extracted(spark, [page.format("Copied article")] * 3) == dict.fromkeys(range(3), "Copied article")
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "no-sidebar", "comments-open", "with-banner", "page social"])
+def test_a_name_on_a_wrapper_drops_no_article(spark, names):
+    pages = ["<div class='{}'><article><p>All of the text</p></article></div>", "<div class='{}'><p>All of the text</p></div><div class=ad>buy</div>", "<article class='{}'><p>All of the text</p></article>", "<form><div id='{}'><p>All of the text</p></div></form>"]
+    assert set(extracted(spark, [p.format(names) for p in pages]).values()) == {"All of the text"}
+
+
 @pytest.mark.parametrize("rows", [0, 7, 300, 5000])
 def test_sample_is_that_of_a_full_sort(spark, rows):
     many = spark.range(4000, numPartitions=8)
