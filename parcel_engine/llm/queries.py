@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcel_engine.llm import hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, warc, toxicity as toxic
+from parcel_engine.llm import anchors, hmm, jaccard, licenses, packing, periods, pfor, rules, styletree, tiling, warc, whitening, toxicity as toxic
 from parcel_engine.llm.common import fold, table
 
 
@@ -62,7 +62,22 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return styletree.main_text(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_hmm_scores, op3_warc, op4_best_fit_packing, op5_token_ids, op6_license_scan, op7_decontamination, op8_toxicity, op9_jaccard_join, op10_html_extraction)}
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), alter=True)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_hmm_scores, op3_warc, op4_best_fit_packing, op5_token_ids, op6_license_scan, op7_decontamination,
+    op8_toxicity, op9_jaccard_join, op10_html_extraction, op11_periodic_runs, op12_whitening, op13_simhash,
+)}
 
 
 #: The same results as DuckDB SQL, where SQL can express them.
