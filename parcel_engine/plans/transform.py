@@ -14,6 +14,7 @@ from parcel_engine.operators.facts import delivery_facts
 from parcel_engine.operators.keys import rows_with_keys
 from parcel_engine.schemas import FACT, conform
 from parcel_engine.session import Stage, require_utc, staging
+from parcel_engine.sinks.order_index import OrderIndex
 from parcel_engine.sinks.tables import partitions
 from parcel_engine.sinks.upsert import UpsertResult, upsert
 from parcel_engine.sources.tables import as_date, date_slice
@@ -25,22 +26,17 @@ class History:
     ``events`` holds the latest version of every event that was ever in such an order.
     Some of those have moved on to another order, of which the rest is not read.
 
-    Ids and days of all raw rows are read once, without copies, for the lookups; the other
-    columns are read of ``days`` alone, which hold every version of these events.
+    Raw is read of the given days, and of ``days``, which hold every version of these events.
+    Everything in between comes from the index, and of that only the buckets of the keys.
     """
 
-    def __init__(self, raw: DataFrame, dates: Iterable[date], stage: Stage):
-        touched = date_slice(raw, dates).select("event_id").distinct()
-        places = stage.keep(raw.select("event_id", "order_id", "event_date").distinct())
+    def __init__(self, raw: DataFrame, dates: Iterable[date], stage: Stage, index: OrderIndex):
+        touched = stage.keep(date_slice(raw, dates).select("event_id").distinct())
         # An event moved to another order by a correction touches both orders.
-        orders = rows_with_keys(places, touched, "event_id").select("order_id").distinct()
-        self.orders = stage.keep(orders)
-        members = rows_with_keys(places, self.orders, "order_id").select("event_id")
-        related = stage.keep(members.unionByName(touched).distinct())
-        days = rows_with_keys(places, related, "event_id").select("event_date").distinct()
-        self.days = {r["event_date"] for r in days.collect()}
-        if None not in self.days:
-            raw = date_slice(raw, self.days)
+        self.orders = stage.keep(index.orders_of(touched))
+        related = stage.keep(index.events_of(self.orders).unionByName(touched).distinct())
+        self.days = {r["event_date"] for r in index.days_of(related).collect()}
+        raw = date_slice(raw, self.days)
         self.events = stage.keep(dedup_latest(rows_with_keys(raw, related, "event_id")))
 
 
@@ -94,7 +90,7 @@ def transform(
         elif days is None:
             facts = delivery_facts(raw, **options)
         else:
-            history = History(raw, days, stage)
+            history = History(raw, days, stage, OrderIndex.ensure(spark, raw_table))
             # a fact lies on the day of some version of its event
             target_days = history.days
             facts = delivery_facts(

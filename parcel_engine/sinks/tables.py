@@ -1,7 +1,9 @@
 """Managed Parquet tables partitioned by day.
 
-One writer at a time per table: plain Parquet has no snapshot isolation, so a reader that
-runs during an overwrite may see part of it.
+A day is replaced by switching its partition to a folder that is already complete, so a run that
+fails at any point leaves every day as it was or as it should be. One writer at a time per table:
+plain Parquet has no snapshot isolation, so a reader that runs during an overwrite may see some
+days old and some new, or miss files of a day it has planned to read.
 """
 
 from __future__ import annotations
@@ -10,24 +12,26 @@ import threading
 from collections.abc import Iterable, Sequence
 from datetime import date
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parcel_engine.session import session_conf
+from parcel_engine.session import session_conf, staging
 from parcel_engine.sources.tables import as_date, date_slice
 
 PARTITION = "event_date"
 COMPACT_BYTES = 256 * 1024 * 1024
+#: Folders of rewritten days within a table's folder; the underscore hides them from listings.
+REWRITTEN = "_rewritten-"
+#: Property of a raw table that has an order index: the index table and its number of buckets.
+INDEX = "parcel.order_index"
 
-# Dynamic mode replaces only the partitions present in the written rows; it must be set on
-# the session because ``insertInto`` ignores the write option. Microsecond timestamps,
-# unlike the default encoding, carry the statistics that let scans skip row groups.
+# Microsecond timestamps, unlike the default encoding, carry the statistics that let scans skip
+# row groups. The setting belongs to the session, so writers in threads take turns.
 _WRITING = threading.RLock()
-_WRITE_SETTINGS = {
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-}
+_WRITE_SETTINGS = {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 
 
 def ensure_table(
@@ -58,13 +62,8 @@ def by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", PARTITION)
 
 
-def insert(
-    df: DataFrame,
-    table: str,
-    overwrite: bool = False,
-    measures: Sequence[Column] = (),
-) -> dict:
-    """Write ``df`` into ``table``, matching columns by name; returns the row count.
+def insert(df: DataFrame, table: str, measures: Sequence[Column] = ()) -> dict:
+    """Add ``df`` to ``table``, matching columns by name; returns the row count.
 
     The count and any further ``measures`` (named aggregates) are taken from the rows as
     the last stage writes them, so there is no second pass, and a repeated task of an
@@ -75,17 +74,37 @@ def insert(
     counted = df.select(*spark.table(table).columns).observe(
         written, F.count(F.lit(1)).alias("rows"), *measures
     )
-    # the overwrite mode belongs to the session, so writers in threads take turns
     with _WRITING, session_conf(spark, _WRITE_SETTINGS):
-        counted.write.insertInto(table, overwrite=overwrite)
+        counted.write.insertInto(table)
     return written.get
 
 
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _indexed(spark: SparkSession, table: str):
+    from parcel_engine.sinks.order_index import OrderIndex  # it writes through this module
+
+    return OrderIndex.of(spark, table)
+
+
 def append(df: DataFrame, table: str, measures: Sequence[Column] = ()) -> dict:
-    """Add rows; an empty batch adds nothing."""
-    if is_partitioned(df.sparkSession, table):
+    """Add rows; an empty batch adds nothing.
+
+    Where the table has an order index, the batch is computed once, into a staged table, and
+    enters the index first.
+    """
+    spark = df.sparkSession
+    index = _indexed(spark, table)
+    if is_partitioned(spark, table):
         df = by_day(df)
-    return insert(df, table, measures=measures)
+    if index is None:
+        return insert(df, table, measures=measures)
+    with staging(spark) as stage:
+        batch = stage.keep(df)
+        index.extend(batch)
+        return insert(by_day(batch), table, measures=measures)
 
 
 def partitions(spark: SparkSession, table: str) -> set[date]:
@@ -100,16 +119,100 @@ def drop_partitions(spark: SparkSession, table: str, dates: Iterable[date]) -> N
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
+def table_folder(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return rows.first()["data_type"].rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    location = hadoop.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, location = _file_system(spark, path)
+    files.delete(location, True)
+
+
+def _day_folders(spark: SparkSession, table: str, dates: Iterable[date]) -> set[str]:
+    """Folders that hold files of the days; only these partitions are listed."""
+    return {f.rsplit("/", 1)[0] for f in date_slice(spark.table(table), sorted(dates)).inputFiles()}
+
+
+def _switch(spark: SparkSession, table: str, day: date, folder: str) -> None:
+    """Let the partition of a day point to another folder; one change of the catalog."""
+    spec = f"PARTITION ({PARTITION} = DATE'{day}')"
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'")
+
+
+class IncompleteWrite(RuntimeError):
+    """A rewritten day does not hold the rows that were written."""
+
+
+def replace_days(
+    df: DataFrame, table: str, emptied: Iterable[date] = (), same_rows: bool = False
+) -> int:
+    """Replace exactly the days present in ``df``; drop those ``emptied``; returns the rows.
+
+    All rows go to a fresh folder below the table's, hidden from anything that lists the table.
+    Only when the files hold as many rows of each day as were written, the partitions of the days
+    are switched to it, one by one, and the folders they had are removed last.
+
+    A failure before the switch changes nothing, and one among the switches leaves each day with
+    either all its old or all its new rows. What a failed run has left in the table's folder,
+    ``sweep`` removes. ``same_rows`` says that the rows are those the table has, so an order index
+    learns nothing from them.
+    """
+    spark = df.sparkSession
+    index = None if same_rows else _indexed(spark, table)
+    present = partitions(spark, table)
+    fresh = f"{table_folder(spark, table)}/{REWRITTEN}{uuid4().hex}"
+    written = Observation()
+    rows = by_day(df.select(*spark.table(table).columns)).observe(written, F.count(F.lit(1)).alias("rows"))
+    with _WRITING, session_conf(spark, _WRITE_SETTINGS):
+        rows.write.partitionBy(PARTITION).parquet(fresh)
+    if written.get["rows"]:
+        schema = spark.table(table).schema
+        rewritten = spark.read.schema(schema).parquet(fresh)
+        found = row_counts(rewritten)
+        if None in found or sum(found.values()) != written.get["rows"]:
+            raise IncompleteWrite(f"{fresh} holds {sum(found.values())} rows, not {written.get['rows']}")
+        if index is not None:
+            index.extend(rewritten)
+        before = _day_folders(spark, table, found.keys() & present)
+        added = " ".join(f"PARTITION ({PARTITION} = DATE'{d}') LOCATION '{fresh}/{PARTITION}={d}'" for d in sorted(found.keys() - present))
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD {added}")
+        for day in sorted(found.keys() & present):
+            _switch(spark, table, day, f"{fresh}/{PARTITION}={day}")
+        spark.catalog.refreshTable(table)
+        for folder in before:
+            remove_folder(spark, folder)
+    drop_partitions(spark, table, emptied)
+    return written.get["rows"]
+
+
+def sweep(spark: SparkSession, table: str) -> list[str]:
+    """Remove rewritten folders that no partition points to; no writer may be at work."""
+    root = table_folder(spark, table)
+    files, location = _file_system(spark, root)
+    used = {f.split("/")[-3] for f in spark.table(table).inputFiles()}
+    names = [status.getPath().getName() for status in files.listStatus(location)]
+    gone = sorted(n for n in names if n.startswith(REWRITTEN) and n not in used)
+    for name in gone:
+        remove_folder(spark, f"{root}/{name}")
+    return gone
+
+
 def overwrite_partitions(
     df: DataFrame, table: str, emptied: Iterable[date | str] = ()
 ) -> int:
     """Replace exactly the days present in ``df``, and drop those named in ``emptied``.
 
-    Dynamic overwrite alone cannot clear a day for which there are no rows any more.
+    Days without rows in ``df`` stay as they are unless they are named.
     """
-    rows = insert(by_day(df), table, overwrite=True)["rows"]
-    drop_partitions(df.sparkSession, table, {as_date(d) for d in emptied})
-    return rows
+    return replace_days(df, table, {as_date(d) for d in emptied})
 
 
 def compact_partitions(
@@ -121,8 +224,7 @@ def compact_partitions(
     """Rewrite the days with files of about ``file_bytes``; the rows stay the same."""
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{file_bytes}b"}
     with session_conf(spark, settings):
-        days = by_day(date_slice(spark.table(table), dates))
-        return insert(days, table, overwrite=True)["rows"]
+        return replace_days(date_slice(spark.table(table), dates), table, same_rows=True)
 
 
 def row_counts(df: DataFrame) -> dict[date, int]:

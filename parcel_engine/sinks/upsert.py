@@ -13,11 +13,10 @@ from parcel_engine.session import staging
 from parcel_engine.sinks.tables import (
     PARTITION,
     append,
-    by_day,
     drop_partitions,
     ensure_table,
-    insert,
     partitions,
+    replace_days,
     row_counts,
 )
 from parcel_engine.sources.tables import date_slice
@@ -51,10 +50,10 @@ def upsert(
     for other days are appended. A day left without rows is dropped. Into an empty table
     a source that needs no check is written directly.
 
-    The order is append, rewrite, drop: after a crash in between, moved rows may be there
+    The order is append, rewrite, drop: after a failure in between, moved rows may be there
     twice until the same source is run again, which finds both copies and repairs them.
-    A rewrite replaces the folder of a day: a crash between the removal of the old folder
-    and the move of the new one loses rows of that day that are not in the source.
+    No failure loses a row: a rewritten day is complete before its partition is switched to
+    it (see ``replace_days``), and a day is dropped only when its rows stand elsewhere.
     """
     keys = list(keys)
     spark = source.sparkSession
@@ -175,5 +174,5 @@ def _apply(
             .drop("_spread")
         )
         merged = kept.unionByName(date_slice(source, rewritten).select(*target.columns))
-        insert(by_day(merged), table, overwrite=True)
+        replace_days(merged, table)
     drop_partitions(spark, table, emptied)

@@ -10,6 +10,7 @@ from parcel_engine.operators import courier_daily_kpis, dedup_latest, delivery_f
 from parcel_engine.operators.keys import rows_with_keys
 from parcel_engine.plans.transform import History
 from parcel_engine.session import session_conf, staging
+from parcel_engine.sinks.order_index import OrderIndex
 
 SETTINGS = {
     "spark.sql.maxMetadataStringLength": "10000",
@@ -87,14 +88,37 @@ def test_key_lookup_takes_only_the_keys(spark):
     assert got == {"evt-006", "evt-007"}
 
 
-def test_history_reads_wide_rows_of_the_days_found_alone(shuffled, database):
+def scans_of(plan: str, column: str) -> list[str]:
+    return [line for line in plan.splitlines() if "FileScan" in line and column in line]
+
+
+def test_history_reads_raw_of_the_days_found_alone(shuffled, database):
     table = f"{database}.raw"
-    four_orders(shuffled).write.partitionBy("event_date").saveAsTable(table)
-    raw = shuffled.table(table)
+    four_orders(shuffled, one_day=False).write.partitionBy("event_date").saveAsTable(table)
+    raw, index = shuffled.table(table), OrderIndex.build(shuffled, table)
     with staging(shuffled) as stage:
         kept = []
         stage.keep = lambda df, keep=stage.keep: kept.append(planned(df)) or keep(df)
-        history = History(raw, [date(2024, 1, 15)], stage)
-        assert history.days <= {r[0] for r in raw.select("event_date").distinct().collect()}
-        wide = [line for line in kept[-1].splitlines() if "FileScan" in line and "notes" in line]
-        assert wide and all(re.search(r"PartitionFilters: \[[^\]]*event_date", line) for line in wide)
+        history = History(raw, [date(2024, 1, 14)], stage, index)
+        assert history.days == {date(2024, 1, 14), date(2024, 1, 15)}
+        scans = [line for plan in kept for line in plan.splitlines() if "FileScan" in line]
+        of_raw = [line for line in scans if "/raw]" in line or "/raw/event_date" in line]
+        assert len(of_raw) == 2 and sum("notes" in line for line in of_raw) == 1
+        assert all(re.search(r"PartitionFilters: \[[^\]]*event_date", line) for line in of_raw)
+        # the index is read by side and bucket
+        of_index = [line for line in scans if "order_index" in line]
+        assert len(of_index) == 2
+        assert all(re.search(r"PartitionFilters: \[[^\]]*side[^\]]*bucket", line) for line in of_index)
+
+
+def test_a_lookup_reads_the_buckets_of_its_keys(shuffled, database):
+    table = f"{database}.raw"
+    four_orders(shuffled, one_day=False).write.partitionBy("event_date").saveAsTable(table)
+    index = OrderIndex.build(shuffled, table, buckets=8)
+    keys = shuffled.createDataFrame([("evt-001",)], "event_id string")
+    found = index.lookup("event", keys)
+    rows = found.collect()
+    assert [(r.key, r.other, str(r.event_date)) for r in rows] == [("evt-001", "order-1", "2024-01-14")]
+    assert all("bucket=" in f and "side=event" in f for f in found.inputFiles())
+    read = {re.search(r"bucket=(\d+)", f)[1] for f in found.inputFiles() if "side=" in f}
+    assert len(read) == 1

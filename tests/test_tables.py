@@ -1,6 +1,8 @@
 """Sinks: append, overwrite, upsert, compaction."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +98,113 @@ class TestTables:
             conform(df, FACT)
 
 
+class TestReplaceDays:
+    """Whatever fails, every day has all its old or all its new rows."""
+
+    def new(self, spark):
+        return frame(spark, [("x", D1, 5, "new"), ("y", D2, 5, "new"), ("z", D2, 6, "new")])
+
+    def test_old_folders_go_last(self, spark, target):
+        before = {f.rsplit("/", 1)[0] for f in spark.table(target).inputFiles()}
+        assert tables.replace_days(self.new(spark), target) == 3
+        after = {f.rsplit("/", 1)[0] for f in spark.table(target).inputFiles()}
+        assert len(after) == 3 and len(after & before) == 1  # the day that was not replaced
+        root = Path(tables.table_folder(spark, target).removeprefix("file:"))
+        assert sorted(p.name for p in root.glob("event_date=*")) == [f"event_date={D3}"]
+        assert tables.sweep(spark, target) == []
+        # appended rows find the new folder, and a second rewrite removes it
+        tables.append(frame(spark, [("w", D2, 7, "later")]), target)
+        tables.replace_days(frame(spark, [("v", D2, 8, "last")]), target)
+        assert content(spark, target) == [("d", D3, 1, "old"), ("v", D2, 8, "last"), ("x", D1, 5, "new")]
+
+    def test_failed_write(self, spark, target):
+        before = content(spark, target)
+        broken = F.when(F.col("event_id") == "z", F.raise_error(F.lit("lost")).cast("string")).otherwise(F.col("note"))
+        with pytest.raises(Exception, match="lost"):
+            tables.replace_days(self.new(spark).withColumn("note", broken), target)
+        assert content(spark, target) == before
+        tables.replace_days(self.new(spark), target)
+        assert len(content(spark, target)) == 4
+
+    def test_short_write(self, spark, target, monkeypatch):
+        before = content(spark, target)
+        monkeypatch.setattr(tables, "row_counts", lambda df: {D1: 1, D2: 1})
+        with pytest.raises(tables.IncompleteWrite):
+            tables.replace_days(self.new(spark), target)
+        assert content(spark, target) == before
+
+    @pytest.mark.parametrize("fails_at", [0, 1])
+    def test_failed_switch(self, spark, target, monkeypatch, fails_at):
+        real, calls = tables._switch, []
+
+        def switch(*args):
+            if len(calls) == fails_at:
+                raise OSError("catalog is away")
+            calls.append(args)
+            real(*args)
+
+        monkeypatch.setattr(tables, "_switch", switch)
+        with pytest.raises(OSError):
+            tables.replace_days(self.new(spark), target)
+        spark.catalog.refreshTable(target)
+        old = [("a", D1, 1, "old"), ("b", D1, 1, "old")] if fails_at == 0 else [("x", D1, 5, "new")]
+        assert content(spark, target) == sorted([*old, ("c", D2, 1, "old"), ("d", D3, 1, "old")])
+        monkeypatch.setattr(tables, "_switch", real)
+        tables.replace_days(self.new(spark), target)
+        assert len(content(spark, target)) == 4
+        # what the failed run had written is nobody's now, unless a day was switched to it
+        tables.sweep(spark, target)
+        assert len(content(spark, target)) == 4
+
+    def test_sweep_keeps_what_is_used(self, spark, target):
+        tables.replace_days(self.new(spark), target)
+        root = tables.table_folder(spark, target)
+        frame(spark, [("q", D1, 1, "left")]).write.parquet(f"{root}/{tables.REWRITTEN}left")
+        before = content(spark, target)
+        assert tables.sweep(spark, target) == [f"{tables.REWRITTEN}left"]
+        assert content(spark, target) == before
+
+    @pytest.mark.parametrize("step", ["replace_days", "drop_partitions"])
+    def test_upsert_that_fails_loses_no_row(self, spark, target, monkeypatch, step):
+        from parcel_engine.sinks import upsert as module
+
+        source = frame(spark, [("a", D1, 2, "new"), ("d", D1, 2, "moved"), ("e", D3, 2, "new")])
+
+        def fail(*args, **kwargs):
+            raise OSError("lost")
+
+        with monkeypatch.context() as patched:
+            patched.setattr(module, step, fail)
+            with pytest.raises(OSError):
+                upsert(source, target, ["event_id"])
+        assert {"a", "b", "c", "d"} <= {r[0] for r in content(spark, target)}
+        upsert(source, target, ["event_id"])
+        assert content(spark, target) == [
+            ("a", D1, 2, "new"), ("b", D1, 1, "old"), ("c", D2, 1, "old"), ("d", D1, 2, "moved"), ("e", D3, 2, "new"),
+        ]
+
+    def test_writers_in_threads(self, spark, database):
+        names = [f"{database}.t{i}" for i in range(2)]
+        days = [date(2024, 2, 1 + i) for i in range(8)]
+        rows = frame(spark, [(f"{d}-{i}", d, i, "x") for d in days for i in range(5)])
+        for name in names:
+            tables.ensure_table(spark, name, rows.schema)
+        changed = rows.filter(F.col("event_date") < days[4]).withColumn("note", F.lit("y"))
+        before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+
+        def work(name):
+            tables.append(rows, name)
+            for _ in range(3):
+                tables.replace_days(changed, name)
+
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(work, names))
+        for name in names:
+            found = content(spark, name)
+            assert len(found) == 40 and sum(r[3] == "y" for r in found) == 20
+        assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+
+
 class TestUpsert:
     def test_update_and_insert(self, spark, target):
         source = frame(spark, [("a", D1, 2, "new"), ("e", D2, 2, "new")])
