@@ -104,7 +104,7 @@ def _summed(rows: DataFrame, kind: str, width: int, add: Callable[[np.ndarray],
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names)
 
     parts = rows.select("x").mapInArrow(run, ", ".join(f"{name} {kind}" for name in names))
-    return np.array(list(parts.agg(*(F.sum(name).alias(name) for name in names)).first()))
+    return np.array(list(parts.selectExpr(*(f"sum({name})" for name in names)).collect()[0]))
 
 
 @dataclass
@@ -226,8 +226,8 @@ def identity_error(rows: DataFrame, fitted: Whitening) -> float:
 
     names = [f"s{j}" for j in range(k + 1)]
     parts = rows.select("x").mapInArrow(run, ", ".join(["i int", *(f"{name} double" for name in names)]))
-    found = parts.groupBy("i").agg(*(F.sum(name).alias(name) for name in names)).orderBy("i").collect()
-    sums = np.array([list(r)[1:] for r in found]) / n
+    found = parts.groupBy("i").agg(*map(F.expr, (f"sum({name})" for name in names))).collect()
+    sums = np.array([list(r)[1:] for r in sorted(found)]) / n
     mean = sums[:, -1]
     return float(np.abs(sums[:, :-1] - np.outer(mean, mean) - np.eye(k)).max())
 
