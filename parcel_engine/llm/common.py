@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel_engine.session import session_conf
+from parcel_engine.sinks.tables import remove_folder
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 20
@@ -53,7 +54,15 @@ def staged(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame
     settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)} if batch_rows else {}
     with session_conf(df.sparkSession, settings):
         df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.staged_in = folder
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that no later step reads."""
+    for df in tables:
+        remove_folder(df.sparkSession, df.staged_in)
 
 
 def lowest(df: DataFrame, order: Column, rows: int, *ties: Column | str) -> DataFrame:
@@ -238,27 +247,51 @@ class Bitmap:
 
     def may_hold(self, values: np.ndarray) -> np.ndarray:
         """Whether each long may be among the values; never false for one that is."""
-        at = xxhash64(values) >> U64(64 - self.bits)
+        return self.holds(xxhash64(values))
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """The same of hashes, by their first bits."""
+        at = hashes >> U64(64 - self.bits)
         return (self.words[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1) == 1
 
 
-def bitmap(values: DataFrame, column: str, bits: int = 25) -> Bitmap:
-    """The bitmap of a column of longs: 2**bits bits, 4 MB unless told otherwise."""
-    found = (
-        values.select(F.xxhash64(F.col(column).cast("long")).alias("h"))
-        .selectExpr(
-            f"shiftrightunsigned(h, {64 - bits + 6}) AS w",
-            f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT)) AS b",
-        )
-        .groupBy("w")
-        .agg(F.bit_or("b").alias("b"))
-        .toPandas()
-    )
+def slices_of(values: int, bits: int) -> int:
+    """log2 of the slices in which a bitmap of ``values`` is made: a slice has a million of them or so."""
+    return min(bits - 6, max(6, int(values >> 20).bit_length()))
+
+
+def slice_bytes(top: np.ndarray, slices: int, bits: int) -> bytes:
+    """The part of a bitmap for hashes that share their first ``slices`` bits."""
+    at = (top >> U64(64 - bits)) & U64((1 << (bits - slices)) - 1)
+    marks = np.zeros(1 << (bits - slices), bool)
+    marks[at.astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def gathered(rows: DataFrame, slices: int, bits: int) -> Bitmap:
+    """A bitmap from (slice, part): 2**bits bits on the driver, whatever the number of values."""
     out = np.zeros(1 << (bits - 6), U64)
-    out[found["w"].to_numpy(np.int64)] = found["b"].to_numpy(np.int64).view(U64)
+    size = 1 << (bits - slices - 6)
+    for row in rows.collect():
+        out[row[0] * size : (row[0] + 1) * size] |= np.frombuffer(row[1], U64)
     return Bitmap(out, bits)
 
 
+def bitmap(values: DataFrame, column: str, bits: int = 25, slices: int = 6) -> Bitmap:
+    """The bitmap of a column of longs. Tasks make its slices; a slice's values come to one of them."""
+    hashes = values.select(F.xxhash64(F.col(column).cast("long")).alias("h"))
+    dealt = hashes.withColumn("slice", F.expr(f"CAST(shiftrightunsigned(h, {64 - slices}) AS INT)")).repartition("slice").sortWithinPartitions("slice")
+
+    def run(batches):
+        for batch in batches:
+            h, own = batch.column(0).to_numpy().view(U64), batch.column(1).to_numpy()
+            cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
+            parts = [slice_bytes(h[a:b], slices, bits) for a, b in zip(cut, [*cut[1:], len(own)])]
+            yield pa.RecordBatch.from_arrays([pa.array(own[cut] if len(own) else own), pa.array(parts, pa.binary())], ["slice", "part"])
+
+    return gathered(dealt.mapInArrow(run, "slice int, part binary"), slices, bits)
+
+
 def xxhash64(values: np.ndarray) -> np.ndarray:
     """Spark's ``xxhash64`` of non-null longs."""
     p1, p2, p3, p4, p5 = (U64(v) for v in (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import staged
+from parcel_engine.llm.common import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,8 +41,12 @@ def components(edges: DataFrame) -> DataFrame:
         # done when every node hangs on one root: no root has a parent, no node two
         many = after.groupBy("b").agg(F.count("*").alias("n")).where("n > 1").select("b")
         deep = after.select("b").join(after.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-        if many.union(deep).isEmpty():
+        done = many.union(deep).isEmpty()
+        discard(now)
+        if done:
             break
         now = after
     roots = after.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
-    return after.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
+    out = after.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)
+    out.staged_in = after.staged_in
+    return out

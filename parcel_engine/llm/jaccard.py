@@ -7,25 +7,27 @@ shingle among the first ``p = n - ceil(percent * n / 100) + 1`` of each, and two
 prefixes are extended by one.
 
 * The order is: rare shingles by hash, then frequent ones by hash. A first pass counts the shingles
-  that are among the first ``COUNTED`` of any set by hash; those of two sets or more are frequent.
-  Prefixes are filled with rare shingles first, so passages that documents share leave the
-  prefixes of all that consist mostly of other text. The frequent ones are kept in a bitmap of
-  bounded size; those it holds by chance count as frequent too, for all sets alike, which changes
-  the work only.
+  that are among the first ``COUNTED`` of any set by hash, up to two and by their first 40 bits; those
+  of two sets or more are frequent. Prefixes are filled with rare shingles first, so passages that
+  documents share leave the prefixes of all that consist mostly of other text. The frequent ones are
+  kept in a bitmap of bounded size, made slice by slice in tasks; those it holds by chance count as
+  frequent too, for all sets alike, which changes the work only.
 * Rare shingles of the extended prefix are index keys alone. Frequent ones are in it only if most
   of a set is frequent. Sets of fewer than ``COMBINED`` shingles then use combinations of two as
   keys; larger ones, such as members of a large group of near copies, would have thousands of
   combinations each and use single ones; sets near that size use both, so that none is missed.
-* All sets under one key are compared with the first of them. Keys whose sets these links leave in
-  several components are put together where they share sets, and in each such group every set
-  that is not in the largest component is compared with all others, block by block. A component
-  needs no second link within itself, so a group of near copies costs comparisons in proportion
-  to its size times those of its members that are left outside; a set is sent to as many tasks as
-  its group has blocks.
+* Every set under a key is a follower of the first one there, its leader. Sizes that cannot link go
+  at once. In the first round each set is compared with its first leader, in the second with a leader
+  of each other component it has one in. Compressed texts travel, not sets: a follower's once a
+  round, a leader's once for each ``FOLLOWERS`` of its followers.
+* Keys whose sets are still in several components are put together by their leader, and in each
+  such group every set that is not in the largest component is compared with all others, block
+  by block. A component needs no second link within itself, so a group of near copies costs
+  comparisons in proportion to its size times those of its members that are left outside.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; a text of fewer
 words is one shingle of all its words; rows that share an id are one node; a row with a null id is
-linked with nothing and has a null component. Other columns are ignored.
+linked with nothing and has a null component. Ids are integers. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,11 +37,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, Bitmap, bitmap, mix, staged, windows, words
+from parcel_engine.llm.common import (
+    U64, Bitmap, bitmap, discard, gathered, mix, slice_bytes, slices_of, staged, windows, words,
+)
 from parcel_engine.llm.components import components
 
 SHINGLE = 5
@@ -49,10 +54,12 @@ COUNTED = 50
 #: Bits of the bitmap of frequent shingles (log2), at least and at most.
 LEAST_BITS, MOST_BITS = 20, 28
 COMBINED = 100
+#: Followers that are compared with one copy of their leader, about.
+FOLLOWERS = 256
 #: Sets in a block of those that are compared with all others, about.
 BLOCK = 1024
-#: Rows of an Arrow batch that hold whole sets.
-SETS_BATCH = 500
+#: Rows of an Arrow batch that hold texts.
+TEXTS_BATCH = 500
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -109,33 +116,72 @@ def _chosen(batch: pa.RecordBatch, bits: Bitmap) -> pa.RecordBatch:
     return batch.filter(pa.array(bits.may_hold(ids)))
 
 
-def _frequent(source: DataFrame, reps: Broadcast, shingle: int, percent: int, bits: int) -> Bitmap:
-    """Shingles that two representatives or more have among the first of theirs."""
+def _twice(values: np.ndarray) -> np.ndarray:
+    """Sorted, no value more than twice."""
+    values = np.sort(values)
+    return values[np.r_[np.ones(min(2, len(values)), bool), values[2:] != values[:-2]]]
 
-    def run(batches):
+
+def _frequent(source: DataFrame, reps: Broadcast, shingle: int, percent: int, bits: int, slices: int) -> Bitmap:
+    """Shingles that two representatives or more have among the first of theirs.
+
+    A batch sends, for each slice of the hashes, the differences of their first 40 bits, sorted,
+    byte by byte and compressed: some three bytes for a shingle.
+    """
+
+    def count(batches):
+        pack = zstandard.ZstdCompressor(1)
         for batch in batches:
             parts = []
             for _, at, grams in shingle_sets(_chosen(batch, reps.value).column(1), shingle):
                 n = np.diff(at)
                 most = np.maximum(-(-COUNTED * n // 100), prefix_length(n, percent) + 1)
-                parts.append(grams[np.arange(len(grams)) - np.repeat(at[:-1], n) < np.repeat(most, n)])
-            values, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, U64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int32))], ["h", "c"])
+                parts.append(_twice(grams[np.arange(len(grams)) - np.repeat(at[:-1], n) < np.repeat(most, n)] >> U64(24)))
+            values = _twice(np.concatenate(parts) if parts else np.zeros(0, U64))
+            own = (values >> U64(40 - slices)).astype(np.int64)
+            cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+            blobs = []
+            for x, y in zip(cut, [*cut[1:], len(own)]):
+                steps = np.diff(values[x:y], prepend=U64(0))
+                blobs.append(pack.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :5].T)))
+            yield pa.RecordBatch.from_arrays([pa.array(own[cut].astype(np.int32)), pa.array(blobs, pa.binary())], ["slice", "part"])
+
+    def merge(held: list[bytes]) -> bytes:
+        found = []
+        for blob in held:
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(5, -1)
+            steps = np.zeros((planes.shape[1], 8), np.uint8)
+            steps[:, :5] = planes.T
+            found.append(np.cumsum(steps.view(U64)[:, 0], dtype=U64))
+        values = np.sort(np.concatenate(found))
+        return slice_bytes(values[1:][values[1:] == values[:-1]] << U64(24), slices, bits)
+
+    def mark(batches):
+        held, now = [], None
+        for batch in batches:
+            for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k != now and held:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([merge(held)], pa.binary())], ["slice", "part"])
+                    held = []
+                now = k
+                held.append(blob)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([merge(held)], pa.binary())], ["slice", "part"])
 
-    counted = source.mapInArrow(run, "h long, c int").groupBy("h").agg(F.sum("c").alias("c"))
-    return bitmap(counted.where("c > 1"), "h", bits)
+    kind = "slice int, part binary"
+    counted = source.mapInArrow(count, kind).repartition("slice").sortWithinPartitions("slice")
+    return gathered(counted.mapInArrow(mark, kind), slices, bits)
 
 
-def _keys(source: DataFrame, reps: Broadcast, frequent: Bitmap, shingle: int, percent: int) -> DataFrame:
-    """(key, id) for the keys of each representative."""
-    given = source.sparkSession.sparkContext.broadcast(frequent)
+def _keys(source: DataFrame, reps: Broadcast, given: Broadcast, shingle: int, percent: int) -> DataFrame:
+    """(key, id) for the keys of each representative; ``given``: the frequent shingles."""
 
     def run(batches):
         for batch in batches:
             batch = _chosen(batch, reps.value)
             for first, at, grams in shingle_sets(batch.column(1), shingle):
                 n = np.diff(at)
-                often = given.value.may_hold(grams.view(np.int64))
+                often = given.value.holds(grams)
                 row = np.repeat(np.arange(len(n)), n)
                 order = np.lexsort((often, row))  # stable: by hash within each class
                 grams, often = grams[order], often[order]
@@ -165,108 +211,140 @@ def _keys(source: DataFrame, reps: Broadcast, frequent: Bitmap, shingle: int, pe
     return source.mapInArrow(run, f"key long, id {kind}")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """The rows whose key stands in two rows or more.
+def _followers(rows: DataFrame) -> DataFrame:
+    """(key, leader, id) of all rows but the first, by id, under each key.
 
-    Rows come sorted by key, and neighbours are compared as they pass, so memory does not depend
-    on how many rows share a key.
+    Rows come sorted and the leader is carried along, so memory does not depend on how many rows
+    share a key.
     """
-    ordered = rows.repartition("key").sortWithinPartitions("key")
+    ordered = rows.repartition("key").sortWithinPartitions("key", "id")
 
     def run(batches):
-        held = None  # the last row so far, and whether it had an equal neighbour
+        held = None  # key and leader at the end of the last batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = batch.column(0).to_numpy()
-            same = key[1:] == key[:-1]
-            keep = np.zeros(len(key), bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            if held is not None:
-                row, kept = held
-                if row.column(0)[0].as_py() == key[0]:
-                    keep[0] = kept = True
-                if kept:
-                    yield row
-            held = (batch.slice(len(key) - 1), bool(keep[-1]))
-            keep[-1] = False
-            yield batch.filter(pa.array(keep))
-        if held is not None and held[1]:
-            yield held[0]
-
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return ordered.mapInArrow(run, names)
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by exact intersection of their sets."""
-
-    def run(batches):
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x = np.frombuffer(left[i].as_buffer(), np.int64)
-                y = np.frombuffer(right[i].as_buffer(), np.int64)
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select([0, 1]).filter(pa.array(keep))
-
-    kind = pairs.schema["a"].dataType.simpleString()
-    with_sets = (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
-        .select("a", "b", "x", "y")
+            key, id_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            leader = id_[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            if held is not None and held[0] == key[0]:
+                leader[: int(np.argmax(new[1:])) + 1 if new[1:].any() else len(key)] = held[1]
+                new[0] = False
+            held = key[-1], leader[-1]
+            out = ~new & (leader != id_)
+            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(leader[out]), pa.array(id_[out])], ["key", "leader", "id"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return ordered.mapInArrow(run, f"key long, leader {kind}, id {kind}")
+
+
+def _similar_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    n = sizes.groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    with_n = pairs.join(n.select(F.col("id").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma")), "a").join(
+        n.select(F.col("id").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb")), "b"
     )
-    return with_sets.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return with_n.where(f"100 * ma >= {percent} * lb and 100 * mb >= {percent} * la").select("a", "b")
 
 
-def _sets_of(source: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """Whole shingle sets of the documents in ``ids``, and of a few others."""
-    given = source.sparkSession.sparkContext.broadcast(bitmap(ids, "id"))
+def _texts_of(source: DataFrame, given: Broadcast) -> DataFrame:
+    """Compressed texts of the documents whose id may be in the bitmap."""
 
     def run(batches):
+        pack = zstandard.ZstdCompressor(1)
         for batch in batches:
             batch = _chosen(batch, given.value)
-            for first, at, grams in shingle_sets(batch.column(1), shingle):
-                blobs = [grams[s:e].tobytes() for s, e in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(blobs)), pa.array(np.diff(at).astype(np.int64)), pa.array(blobs, pa.binary())],
-                    ["id", "n", "hashes"],
-                )
+            blobs = [pack.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["id", "packed"])
 
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n long, hashes binary")
+    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, packed binary")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _unpacked(column: pa.Array, shingle: int) -> list[np.ndarray]:
+    """The set of each compressed text, ascending."""
+    unpack = zstandard.ZstdDecompressor()
+    texts = pa.array([unpack.decompress(b) for b in column.to_pylist()], pa.large_binary())
+    return [grams[x:y] for _, at, grams in shingle_sets(texts, shingle) for x, y in zip(at[:-1], at[1:])]
 
 
-def _similar_size(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    n = sets.groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    with_n = pairs.join(n.select(F.col("id").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma")), "a").join(
-        n.select(F.col("id").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb")), "b"
-    )
-    return with_n.where(f"100 * ma >= {percent} * lb and 100 * mb >= {percent} * la").select("a", "b")
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    if not len(x) or not len(y):
+        return 0
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def _open(buckets: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows of keys whose sets are in several components, with component, size and first set."""
-    parts = components(links).withColumnRenamed("node", "id")
-    apart = buckets.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    keys = apart.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.min("id").alias("leader")
-    ).where("low <> high")
-    return staged(apart.join(keys.select("key", "size", "leader"), "key"), "jaccard-open")
+def _links(pairs: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The staged pairs (a, b) that link, by exact intersection; ``a`` leads, ``b`` follows."""
+    spark = pairs.sparkSession
+    kind = pairs.schema["a"].dataType.simpleString()
+    slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / FOLLOWERS).cast("int").alias("k"))
+    followers = pairs.join(slices, "a").select(F.col("b").alias("id"), F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), "k").cast("int").alias("slice"), F.lit(1).alias("follows"))
+    leaders = slices.select(F.col("a").alias("id"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"), F.lit(0).alias("follows"))
+    roles = staged(followers.union(leaders), "jaccard-roles")
+    given = spark.sparkContext.broadcast(bitmap(roles.select("id").distinct(), "id"))
+    rows = roles.join(_texts_of(source, given), "id").select("leader", "slice", "follows", "id", "packed")
+    ordered = rows.repartition("leader", "slice").sortWithinPartitions("leader", "slice", "follows")
 
+    def run(batches):
+        now, sets = None, []
+        for batch in batches:
+            a, b = [], []
+            group = zip(*(batch.column(k).to_pylist() for k in range(4)))
+            for (leader, part, follows, id_), own in zip(group, _unpacked(batch.column(4), shingle)):
+                if not follows:
+                    if now != (leader, part):
+                        now, sets = (leader, part), []
+                    sets.append(own)
+                    continue
+                for x in sets if now == (leader, part) else []:
+                    common = _common(own, x)
+                    if 100 * common >= percent * (len(own) + len(x) - common):
+                        a.append(leader)
+                        b.append(id_)
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field(0).type), pa.array(b, batch.schema.field(0).type)], ["a", "b"])
+
+    found = staged(ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "jaccard-links", TEXTS_BATCH)
+    given.destroy()
+    discard(roles)
+    return found
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components, with these (ca, cb)."""
+    of = lambda end: parts.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    known = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    known = known.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    return known.where("ca <> cb")
+
+
+def _open(followers: DataFrame, apart: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, leader, id, component) of keys whose sets are in several components, leaders included.
+
+    Only keys of leaders with a follower in another component can be such.
+    """
+    spark = followers.sparkSession
+    given = spark.sparkContext.broadcast(bitmap(apart.select("a").distinct(), "a"))
 
-def _links_in_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A link for each set and each component it links to, within groups of open keys that share sets."""
-    groups = components(left.select(F.col("leader").alias("a"), F.col("id").alias("b")))
-    ids = left.select("id", "component").distinct().join(groups.select(F.col("node").alias("id"), F.col("component").alias("g")), "id")
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(given.value.may_hold(pc.cast(batch.column(1), pa.int64()).to_numpy())))
+
+    kind = followers.schema["id"].dataType.simpleString()
+    some = staged(followers.mapInArrow(run, f"key long, leader {kind}, id {kind}"), "jaccard-unsettled")
+    given.destroy()
+    rows = some.union(some.select("key", "leader", F.col("leader").alias("id"))).distinct()
+    known = rows.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    keys = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = staged(known.join(keys.select("key"), "key").select("leader", "id", "component").distinct(), "jaccard-open")
+    discard(some)
+    return left
+
+
+def _links_in_blocks(left: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """A link for each set and each component it links to, within the open keys of a leader."""
+    spark = left.sparkSession
+    ids = left.withColumnRenamed("leader", "g")
     sizes = ids.groupBy("g", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("g").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("n"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
@@ -278,15 +356,16 @@ def _links_in_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFram
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left_side = known.where("outside").select("g", "id", "component", F.pmod("h", "outs").cast("int").alias("o"), each("all").alias("m"), F.lit(True).alias("asks"))
     right_side = known.select("g", "id", "component", each("outs").alias("o"), F.pmod("h", "all").cast("int").alias("m"), F.lit(False).alias("asks"))
-    rows = left_side.union(right_side).join(sets.select("id", "hashes"), "id")
+    given = spark.sparkContext.broadcast(bitmap(known.select("id").distinct(), "id"))
+    rows = left_side.union(right_side).join(_texts_of(source, given), "id")
 
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy()
-        sets_of = [np.frombuffer(b.as_buffer(), np.int64) for b in table.column("hashes").combine_chunks()]
+        sets_of = _unpacked(table.column("packed").combine_chunks(), shingle)
         ids, parts = table.column("id").to_numpy(), table.column("component").to_numpy()
         asking, others = np.flatnonzero(asks), np.flatnonzero(~asks)
         size = np.array([len(x) for x in sets_of])
-        tokens = np.concatenate([sets_of[i] for i in others])
+        tokens = np.concatenate([np.zeros(0, U64), *(sets_of[i] for i in others)])
         owner = np.repeat(np.arange(len(others)), size[others])
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
@@ -303,7 +382,10 @@ def _links_in_blocks(left: DataFrame, sets: DataFrame, percent: int) -> DataFram
         return pa.table({"a": pa.array(a, table.schema.field("id").type), "b": pa.array(b, table.schema.field("id").type)})
 
     kind = left.schema["id"].dataType.simpleString()
-    return rows.groupBy("g", "o", "m").applyInArrow(run, f"a {kind}, b {kind}")
+    found = staged(rows.groupBy("g", "o", "m").applyInArrow(run, f"a {kind}, b {kind}"), "jaccard-block-links")
+    given.destroy()
+    discard(known)
+    return found
 
 
 def jaccard_components(
@@ -314,7 +396,7 @@ def jaccard_components(
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     everything = staged(_scan(source, shingle), "shingle-scan")
     real = everything.where("n > 0 and id is not null")
-    groups = real.groupBy("n", "a", "b").agg(F.min("id").alias("rep"))
+    groups = staged(real.groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "jaccard-sets")
     copies = real.join(groups, ["n", "a", "b"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     reps = groups.select(F.col("rep").alias("id")).distinct()
 
@@ -323,20 +405,32 @@ def jaccard_components(
     bits = lambda n: min(MOST_BITS, max(LEAST_BITS, int(n).bit_length()))
     chosen = context.broadcast(bitmap(reps, "id", bits(8 * size["sets"])))
     live = source.where("id is not null")
-    frequent = _frequent(live, chosen, shingle, percent, bits(size["shingles"] // 4))
-    buckets = staged(_shared(_keys(live, chosen, frequent, shingle, percent)), "jaccard-keys")
-    sets = staged(_sets_of(live, buckets.select("id").distinct(), shingle), "jaccard-sets")
-
-    # round one: every set with the first set under each of its keys
-    leaders = buckets.groupBy("key").agg(F.min("id").alias("a"))
-    pairs = _ordered(buckets.join(leaders, "key").select("a", F.col("id").alias("b")))
-    tested = staged(_similar_size(pairs, sets, percent), "jaccard-pairs")
-    links = staged(_links(tested, sets, percent), "jaccard-links", SETS_BATCH)
-    used = leaders.select("key", F.col("a").alias("id"))
-    left = _open(buckets.join(used, ["key", "id"], "left_anti"), links)
-    links = links.union(_links_in_blocks(left, sets, percent))
-
-    parts = components(links.union(copies)).select(F.col("node").alias("id"), "component")
+    wide = bits(size["shingles"] // 4)
+    frequent = context.broadcast(_frequent(live, chosen, shingle, percent, wide, slices_of(size["shingles"], wide)))
+    followers = staged(_followers(_keys(live, chosen, frequent, shingle, percent)), "jaccard-followers")
+    chosen.destroy()
+    frequent.destroy()
+
+    met = staged(followers.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "jaccard-met")
+    pairs = staged(_similar_size(met, groups.select(F.col("rep").alias("id"), "n"), percent), "jaccard-pairs")
+    first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-first")
+    one = _links(first, live, shingle, percent)
+    parts = components(one)
+    again = _apart(pairs, parts).groupBy("ca", "b").agg(F.min("a").alias("a")).select("a", "b").distinct()
+    second = staged(again.join(first, ["a", "b"], "left_anti"), "jaccard-second")
+    discard(parts)
+    two = _links(second, live, shingle, percent)
+    links = one.union(two)
+    parts = components(links)
+    # two followers may link that are both unlike their leader, so all that met count
+    apart = staged(_apart(met, parts), "jaccard-apart")
+    left = _open(followers, apart, parts)
+    discard(first, second, apart, parts, followers, pairs, met)
+    three = _links_in_blocks(left, live, shingle, percent)
+    discard(left)
+
+    parts = components(links.union(three).union(copies)).select(F.col("node").alias("id"), "component")
+    discard(one, two, three, groups)
     return everything.join(parts, "id", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
