@@ -1,54 +1,67 @@
-"""A hidden Markov language model.
-
-Latent states emit word classes: each of the ``OWN`` most frequent training words is one, all
-others are spread over ``SHARED`` classes by hash, and the end of a text is one. A word has, within
-its class, the share of its smoothed count. Baum-Welch learns the states: every iteration goes
-over all training texts, each task adds up its expected counts, and Spark sums them. A first guess
-comes from a bounded sample. The scaled forward recursion gives the exact likelihood of a text,
-however long; texts run through it side by side, sorted by length.
-
-Counts of all training words stay a table. Those of the most frequent, ``HEAD`` at most, are sent
-to the tasks; the rest of a text's words are joined with the table.
-
-Defined cases: a null or empty text is its end alone; repeated rows are scored (and counted) one
-by one; a null id is not held out; an empty training set gives every class the same probability.
+"""A hidden Markov language model in which every training word has emissions of its own.
+
+Texts are encoded once: each Arrow batch becomes a *part*, a row with the sorted hashes of its words
+and the texts as numbers of these. Baum-Welch then runs over all training texts. In the first
+``ITERATIONS`` rounds emissions are tied: the ``OWN`` most frequent words have their own, all others
+share those of ``SHARED`` hash classes, so a round adds up a table of fixed size. In the last round no
+word is tied: each part counts how often it expects each word in each state, tasks add these counts
+up by slices of the hashes, and every part gets back, for each of its words, the count in all training
+texts and the share of each state. An emission is
+
+    (N * g / G + 0.5) / (N + 0.5 * (V + 1))
+
+for a word that is expected ``g`` times in the state and the state ``G`` times in all; a word that
+was never seen has the probability that the word counts alone give it, in every state. The scaled
+forward recursion gives the exact likelihood of a text, however long; texts run through it side by
+side, sorted by length. Nothing but the own words, class totals and state tables is on the driver.
+
+Defined cases: a null or empty text is its end alone; repeated rows are scored (and counted) one by
+one; a null id is not held out; an empty training set gives every word the same probability. A text
+is worked on in one task, with memory proportional to it. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, lowest, staged, words
+from parcel_engine.llm.common import U64, discard, staged, words
+from parcel_engine.session import session_conf
 
 STATES = 8
 OWN = 8192
 SHARED = 1024
 END = OWN + SHARED
 CLASSES = END + 1
-HEAD = 1 << 20
-ITERATIONS = 4
-SAMPLE_ROWS = 1500
-SAMPLE_ITERATIONS = 12
-#: Tokens that run side by side, and tokens a task holds to sort its texts by length.
+ITERATIONS = 5
+#: Tokens that run side by side.
 STRIP = 250_000
-HELD = 4_000_000
+#: log2 of the slices of hashes by which words are added up, at least; they grow with the parts.
+LEAST_SLICES = 6
+#: Rows of an Arrow batch that hold parts.
+PARTS_BATCH = 4
+#: Hash of a text's end among the words.
+END_HASH = U64(0)
+#: Steps in which the share of a state is sent.
+SHARES = 65_535
 
 
 @dataclass
 class Model:
     start: np.ndarray  #: K
     move: np.ndarray  #: K x K
-    emit: np.ndarray  #: classes x K
+    emit: np.ndarray  #: symbols x K
 
 
 class Lockstep:
-    """Sequences of classes laid out by position, the longest first."""
+    """Sequences of symbols laid out by position, the longest first."""
 
     def __init__(self, sequences: list[np.ndarray]):
         size = np.array([len(s) for s in sequences])
@@ -59,12 +72,12 @@ class Lockstep:
         steps = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         self.place = self.off[steps] + np.repeat(np.arange(len(size)), size)
         self.text = np.repeat(np.arange(len(size)), size)
-        self.classes = np.empty(len(steps), np.int64)
-        self.classes[self.place] = np.concatenate([sequences[i] for i in self.order])
+        self.symbols = np.empty(len(steps), np.int64)
+        self.symbols[self.place] = np.concatenate([sequences[i] for i in self.order])
 
     def forward(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        emitted = m.emit[self.classes]
-        alpha, scale = np.empty_like(emitted), np.empty(len(emitted))
+        emitted = m.emit[self.symbols]
+        alpha, scale = np.empty_like(emitted), np.empty(len(emitted), emitted.dtype)
         a = m.start * emitted[: self.n[0]]
         for t, n in enumerate(self.n):
             o = self.off[t]
@@ -83,10 +96,10 @@ class Lockstep:
         return out
 
     def counts(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves and emissions."""
+        """Expected starts, moves and emissions of each symbol."""
         emitted, gamma, scale = self.forward(m)
-        start, move = np.zeros_like(m.start), np.zeros_like(m.move)
-        beta = np.ones((self.n[-1], len(start)))
+        start, move = np.zeros(len(m.start)), np.zeros(m.move.shape)
+        beta = np.ones((self.n[-1], len(start)), emitted.dtype)
         back = m.move.T.copy()
         for t in range(len(self.n) - 1, -1, -1):
             o, n = self.off[t], self.n[t]
@@ -94,15 +107,15 @@ class Lockstep:
                 p, k = self.off[t + 1], self.n[t + 1]
                 v = emitted[p : p + k] * beta / scale[p : p + k, None]
                 move += gamma[o : o + k].T @ v
-                beta = np.ones((n, len(start)))
+                beta = np.ones((n, len(start)), emitted.dtype)
                 beta[:k] = v @ back
             gamma[o : o + n] *= beta
         start += gamma[: self.n[0]].sum(0)
-        emit = np.stack([np.bincount(self.classes, gamma[:, k], CLASSES) for k in range(len(start))], 1)
+        emit = np.stack([np.bincount(self.symbols, gamma[:, k], len(m.emit)) for k in range(len(start))], 1)
         return start, move * m.move, emit
 
 
-def strips(sequences: list[np.ndarray]):
+def strips(sequences: list[np.ndarray]) -> Iterator[tuple[np.ndarray, Lockstep]]:
     """Groups of sequences of like length, of about ``STRIP`` tokens; indices and layout."""
     order = np.argsort([-len(s) for s in sequences], kind="stable")
     group, tokens = [], 0
@@ -122,18 +135,36 @@ def reestimate(start, move, emit, prior: np.ndarray) -> Model:
     return Model((start + 1e-3) / (start + 1e-3).sum(), (move + 1e-3) / (move + 1e-3).sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def first_guess(sample: list[np.ndarray], prior: np.ndarray, states: int, iterations: int, seed: int = 3) -> Model:
+def first_guess(prior: np.ndarray, states: int, seed: int = 3) -> Model:
+    """States that last, and classes that each prefer some of them by chance."""
     rng = np.random.default_rng(seed)
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    m = Model(np.full(states, 1 / states), move, prior[:, None] * rng.uniform(0.5, 1.5, (len(prior), states)))
+    m = Model(np.full(states, 1 / states), move, prior[:, None] * np.exp(rng.standard_normal((len(prior), states))))
     m.emit /= m.emit.sum(0)
-    for _ in range(iterations if sample else 0):
-        parts = [s.counts(m) for _, s in strips(sample)]
-        m = reestimate(*(sum(p[k] for p in parts) for k in range(3)), prior)
     return m
 
 
+@dataclass
+class Vocabulary:
+    own: np.ndarray  #: sorted hashes of the most frequent words; the class is the place
+    totals: np.ndarray  #: smoothed count of each class
+    tokens: int  #: N
+    types: int  #: V
+
+    @property
+    def prior(self) -> np.ndarray:
+        return self.totals / self.totals.sum()
+
+    def classes(self, h: np.ndarray) -> np.ndarray:
+        """Classes of sorted hashes of words, and of the end behind them."""
+        out = OWN + (h & U64(SHARED - 1)).astype(np.int64)
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
+            out = np.where(self.own[at] == h, at, out)
+        return np.append(out, END)
+
+
 def _word_counts(texts: DataFrame) -> DataFrame:
     """(h, c) of all words, added up by batch before they are sent."""
 
@@ -146,182 +177,263 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-@dataclass
-class Vocabulary:
-    head: np.ndarray  #: sorted hashes of the most frequent words
-    count: np.ndarray
-    own: np.ndarray  #: class of each head word; -1 if it shares one
-    totals: np.ndarray  #: smoothed count of each class
-    tokens: int  #: N
-    types: int  #: V
-    least: int  #: smallest count in the head
-
-    def classes(self, h: np.ndarray, at: np.ndarray, known: np.ndarray) -> np.ndarray:
-        shared = OWN + (h & U64(SHARED - 1)).astype(np.int64)
-        if not len(self.head):
-            return shared
-        own = np.where(known, self.own[at], -1)
-        return np.where(own >= 0, own, shared)
-
-
-def vocabulary(counts: DataFrame, texts: int, head: int = HEAD) -> Vocabulary:
+def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     """``counts``: staged (h, c) of the words of ``texts`` training texts."""
-    by_count = counts.groupBy("c").agg(F.count("*").alias("n")).toPandas().sort_values("c", ascending=False)
-    c, n = by_count["c"].to_numpy(np.int64), by_count["n"].to_numpy(np.int64)
-    fits = np.flatnonzero(np.cumsum(n) <= head)
-    least = int(c[fits[-1]]) if len(fits) else int(c.max(initial=0)) + 1
-    rows = counts.where(F.col("c") >= least).toPandas().sort_values(["c", "h"], ascending=[False, True])
-    own_of = np.full(len(rows), -1)
-    own_of[:OWN] = np.arange(min(OWN, len(rows)))
-    h, k = rows["h"].to_numpy(np.int64).view(U64), rows["c"].to_numpy(np.int64)
+    size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    top = counts.orderBy(F.desc("c"), "h").limit(OWN).collect()
+    h = np.array([r["h"] for r in top], np.int64).view(U64)
+    c = np.array([r["c"] for r in top], np.int64)
     order = np.argsort(h)
     totals = np.full(CLASSES, 0.5)
-    totals[: min(OWN, len(rows))] += k[:OWN]
-    shared = counts.groupBy(F.col("h").bitwiseAND(SHARED - 1).alias("b")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).toPandas()
+    totals[: len(h)] += c[order]
     sums = np.zeros(SHARED)
-    sums[shared["b"].to_numpy(int)] = shared["c"].to_numpy(float) + 0.5 * shared["v"].to_numpy(float)
-    np.subtract.at(sums, (h[:OWN] & U64(SHARED - 1)).astype(np.int64), k[:OWN] + 0.5)
+    for r in counts.groupBy(F.col("h").bitwiseAND(SHARED - 1).cast("int").alias("b")).agg(F.sum(F.col("c") + 0.5).alias("c")).collect():
+        sums[r["b"]] = r["c"]
+    np.subtract.at(sums, (h & U64(SHARED - 1)).astype(np.int64), c + 0.5)
     totals[OWN:END] += np.maximum(sums, 0)
     totals[END] += texts
-    return Vocabulary(h[order], k[order], own_of[order], totals, int((c * n).sum()) + texts, int(n.sum()) + (texts > 0), least)
+    return Vocabulary(h[order], totals, size["n"] + texts, size["v"] + (texts > 0))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """An array, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(planes))
+
 
+def unpacked(blob: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
-def _encoded(source: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Each text's classes, what its head words add to the scores, and its other words."""
-    given = source.sparkSession.sparkContext.broadcast(vocab)
+
+def packed_hashes(h: np.ndarray) -> bytes:
+    return packed(np.diff(h, prepend=U64(0)))
+
+
+def unpacked_hashes(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, U64), dtype=U64)
+
+
+def _encoded(source: DataFrame) -> DataFrame:
+    """A row for each batch: its words, and its texts as numbers of words, the end as their number."""
     kind = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        vocab, part, row = given.value, TaskContext.get().partitionId(), 0
-        log_total = np.log10(vocab.totals)
-        for batch in batches:
-            for c in words(batch.column(2), lower=True):
-                values, back = np.unique(c.hashes(), return_inverse=True)
-                if len(vocab.head):
-                    at = np.minimum(np.searchsorted(vocab.head, values), len(vocab.head) - 1)
-                    known = vocab.head[at] == values
-                    logs = np.where(known, np.log10(vocab.count[at] + 0.5), 0.0)
-                else:
-                    at, known, logs = np.zeros(len(values), int), np.zeros(len(values), bool), np.zeros(len(values))
-                classes = vocab.classes(values, at, known)[back]
-                known, logs = known[back], logs[back]
-                end = vocab.totals[END]
-                total = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v)])[c.at])
-                blobs = [classes[s:e].astype("<u2").tobytes() + np.array([END], "<u2").tobytes() for s, e in zip(c.at[:-1], c.at[1:])]
-                hashes = values[back]
-                others = [hashes[s:e][~known[s:e]].tobytes() for s, e in zip(c.at[:-1], c.at[1:])]
-                n = c.n_rows
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((part << 40) + row + np.arange(n)),
-                        batch.column(0).slice(c.first_row, n), batch.column(1).slice(c.first_row, n),
-                        pa.array(np.diff(c.at) + 1), pa.array(c.per_row(known) + (end > 0.5)),
-                        pa.array(total(logs) + np.log10(end)), pa.array(total(log_total[classes]) + np.log10(end)),
-                        pa.array(blobs, pa.binary()), pa.array(others, pa.binary()),
-                    ],
-                    ["key", "id", "held_out", "n_tokens", "n_known", "count_logs", "class_logs", "classes", "others"],
-                )
-                row += n
-
-    return source.mapInArrow(
-        run,
-        f"key long, id {kind}, held_out boolean, n_tokens long, n_known long, count_logs double, class_logs double, classes binary, others binary",
-    )
+        where = TaskContext.get().partitionId() << 32
+        for k, batch in enumerate(b for b in batches if b.num_rows):
+            chunks = list(words(batch.column(2), lower=True))
+            hashes = np.concatenate([c.hashes() for c in chunks])
+            size = np.concatenate([np.diff(c.at) for c in chunks])
+            vocab, numbers = np.unique(hashes, return_inverse=True)
+            ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([where + k]), ids, pa.array([packed(batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8))], pa.binary()),
+                    pa.array([packed(size.astype(np.uint32))], pa.binary()),
+                    pa.array([packed_hashes(vocab)], pa.binary()), pa.array([packed(numbers.astype(np.uint32))], pa.binary()),
+                ],
+                ["part", "ids", "held_out", "sizes", "vocab", "numbers"],
+            )
+
+    return source.mapInArrow(run, f"part long, ids array<{kind}>, held_out binary, sizes binary, vocab binary, numbers binary")
 
 
-def _sequences(batches, column: str):
-    """Rows held until they have ``HELD`` tokens: batches, and sequences of classes."""
-    rows, sequences, tokens = [], [], 0
+@dataclass
+class Part:
+    held_out: np.ndarray
+    vocab: np.ndarray
+    sequences: list[np.ndarray]  #: numbers of words, the end last
+
+    @classmethod
+    def read(cls, row: dict) -> Part:
+        size, vocab = unpacked(row["sizes"], np.uint32).astype(np.int64), unpacked_hashes(row["vocab"])
+        numbers = unpacked(row["numbers"], np.uint32).astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(size)])
+        ends = np.insert(numbers, at[1:], len(vocab))
+        at = at + np.arange(len(at))
+        return cls(unpacked(row["held_out"], np.uint8).astype(bool), vocab, [ends[a:b] for a, b in zip(at[:-1], at[1:])])
+
+    def learned(self) -> list[np.ndarray]:
+        return [s for s, held in zip(self.sequences, self.held_out) if not held]
+
+
+def _expected(part: Part, m: Model, emit: np.ndarray):
+    """Expected starts, moves and emissions of a part's training texts; None without any."""
+    local = Model(*(v.astype(np.float32) for v in (m.start, m.move, emit)))
+    sums = None
+    for _, strip in strips(part.learned()) if not part.held_out.all() else ():
+        found = strip.counts(local)
+        sums = found if sums is None else tuple(a + b for a, b in zip(sums, found))
+    return sums
+
+
+def _rows(batches) -> Iterator[dict]:
     for batch in batches:
-        found = [np.frombuffer(b.as_buffer(), "<u2").astype(np.int64) for b in batch.column(column)]
-        rows.append(batch)
-        sequences += found
-        tokens += sum(map(len, found))
-        if tokens >= HELD:
-            yield rows, sequences
-            rows, sequences, tokens = [], [], 0
-    if sequences:
-        yield rows, sequences
-
-
-def _iteration(encoded: DataFrame, m: Model, prior: np.ndarray) -> Model:
-    """One Baum-Welch step over all training texts."""
-    given = encoded.sparkSession.sparkContext.broadcast(m)
+        yield from batch.to_pylist()
+
+
+_PART = ("part", "held_out", "sizes", "vocab", "numbers")
+
+
+def _iteration(encoded: DataFrame, m: Model, vocab: Vocabulary) -> Model:
+    """One Baum-Welch step over all training texts, with tied emissions."""
     states = len(m.start)
+    given = encoded.sparkSession.sparkContext.broadcast((m, vocab))
 
     def run(batches):
-        sums = None
-        for _, sequences in _sequences(batches, "classes"):
-            for _, strip in strips(sequences):
-                found = strip.counts(given.value)
-                sums = found if sums is None else tuple(a + b for a, b in zip(sums, found))
-        if sums is not None:
-            flat = np.concatenate([x.ravel() for x in sums])
-            at = np.flatnonzero(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(flat[at])], ["at", "v"])
-
-    rows = encoded.select("classes").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toPandas()
+        total = None
+        m, vocab = given.value
+        for row in _rows(batches):
+            part = Part.read(row)
+            classes = vocab.classes(part.vocab)
+            found = _expected(part, m, m.emit[classes] / vocab.prior[classes, None])
+            if found is not None:
+                tied = np.stack([np.bincount(classes, found[2][:, k], CLASSES) for k in range(states)], 1)
+                flat = np.concatenate([found[0], found[1].ravel(), tied.ravel()])
+                total = flat if total is None else total + flat
+        if total is not None:
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "v"])
+
+    sums = encoded.select(*_PART).mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v"))
     flat = np.zeros(states + states**2 + CLASSES * states)
-    flat[rows["at"].to_numpy(int)] = rows["v"].to_numpy(float)
+    with session_conf(encoded.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(PARTS_BATCH)}):
+        found = sums.toArrow()
+    flat[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    given.destroy()
     start, move, emit = np.split(flat, [states, states + states**2])
-    return reestimate(start, move.reshape(states, states), emit.reshape(CLASSES, states), prior)
+    return reestimate(start, move.reshape(states, states), emit.reshape(CLASSES, states), vocab.prior)
 
 
-def _exploded(encoded: DataFrame) -> DataFrame:
+def _word_states(encoded: DataFrame, m: Model, vocab: Vocabulary, slices: int) -> DataFrame:
+    """(slice, part, vocab, n, g): each part's words, how often its training texts have them and expect
+    them in each state. The end is a word, the one with the hash ``END_HASH``."""
+    given = encoded.sparkSession.sparkContext.broadcast((m, vocab))
+
     def run(batches):
-        for batch in batches:
-            blobs = batch.column(1).to_pylist()
-            keys = np.repeat(batch.column(0).to_numpy(), [len(b) // 8 for b in blobs])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.frombuffer(b"".join(blobs), np.int64))], ["key", "h"])
+        m, vocab = given.value
+        for row in _rows(batches):
+            part = Part.read(row)
+            classes = vocab.classes(part.vocab)
+            found = _expected(part, m, m.emit[classes] / vocab.prior[classes, None])
+            emit = found[2] if found is not None else np.zeros((len(classes), len(m.start)))
+            learned = part.learned()
+            n = np.bincount(np.concatenate(learned), minlength=len(classes)) if learned else np.zeros(len(classes), np.int64)
+            h = np.r_[END_HASH, part.vocab]
+            n, emit = np.r_[n[-1:], n[:-1]], np.r_[emit[-1:], emit[:-1]]
+            own = (h >> U64(64 - slices)).astype(np.int64)
+            cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            bounds = list(zip(cut, [*cut[1:], len(h)]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(own[cut].astype(np.int32)), pa.array([row["part"]] * len(cut)),
+                    pa.array([packed_hashes(h[a:b]) for a, b in bounds], pa.binary()),
+                    pa.array([packed(n[a:b].astype(np.uint32)) for a, b in bounds], pa.binary()),
+                    pa.array([packed(emit[a:b].astype(np.float32).T) for a, b in bounds], pa.binary()),
+                ],
+                ["slice", "part", "vocab", "n", "g"],
+            )
+
+    return encoded.select(*_PART).mapInArrow(run, "slice int, part long, vocab binary, n binary, g binary")
+
+
+def _merged(sent: DataFrame, states: int) -> DataFrame:
+    """What each part is told of its words: (part, slice, n, shares); with the first row of a slice, what
+    the slice's words count in each state (``totals``)."""
+
+    def merge(slice_: int, rows: list[dict]):
+        hashes = [unpacked_hashes(r["vocab"]) for r in rows]
+        at = np.cumsum([0, *map(len, hashes)])
+        values, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        n = np.bincount(back, np.concatenate([unpacked(r["n"], np.uint32) for r in rows]))
+        g = np.concatenate([unpacked(r["g"], np.float32).reshape(states, -1) for r in rows], 1)
+        g = np.stack([np.bincount(back, row, len(values)) for row in g], 1)
+        shares = np.rint(SHARES * g / np.maximum(g.sum(1, keepdims=True), 1e-30)).astype(np.uint16)
+        totals = expected(n, shares).sum(0).tolist()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r["part"] for r in rows]), pa.array([slice_] * len(rows), pa.int32()),
+                pa.array([packed(n[back[a:b]].astype(np.int64)) for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                pa.array([packed(shares[back[a:b]].T) for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                pa.array([totals, *[None] * (len(rows) - 1)], pa.list_(pa.float64())),
+            ],
+            ["part", "slice", "n", "shares", "totals"],
+        )
+
+    def run(batches):
+        now, held = None, []
+        for row in _rows(batches):
+            if row["slice"] != now and held:
+                yield from merge(now, held)
+                held = []
+            now = row["slice"]
+            held.append(row)
+        if held:
+            yield from merge(now, held)
+
+    ordered = sent.repartition("slice").sortWithinPartitions("slice", "part")
+    return ordered.mapInArrow(run, "part long, slice int, n binary, shares binary, totals array<double>")
 
-    return encoded.select("key", "others").mapInArrow(run, "key long, h long")
+
+def expected(n: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """How often words of the count ``n`` are expected in each state."""
+    return n[:, None] * shares / np.maximum(shares.sum(1, keepdims=True, dtype=np.int64), 1)
+
+
+def emissions(n: np.ndarray, shares: np.ndarray, totals: np.ndarray, tokens: int, types: int) -> np.ndarray:
+    """The probability of each word in each state."""
+    return (tokens * expected(n, shares) / np.maximum(totals, 1e-30) + 0.5) / (tokens + 0.5 * (types + 1))
 
 
 def hmm_scores(docs: DataFrame, held_out, *, id_column: str = "doc_id", text_column: str = "text",
-               states: int = STATES, iterations: int = ITERATIONS, head: int = HEAD) -> DataFrame:
+               states: int = STATES, iterations: int = ITERATIONS) -> DataFrame:
     """Scores of all texts by a model of those for which the column ``held_out`` is false."""
-    source = docs.select(F.col(id_column).alias("id"), held_out.alias("held_out"), F.col(text_column).alias("text"))
+    source = docs.select(F.col(id_column).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_column).alias("text"))
     training = source.where(~F.col("held_out"))
     counts = staged(_word_counts(training.select("text")), "word-counts")
-    vocab = vocabulary(counts, training.count(), head)
-    encoded = staged(_encoded(source, vocab), "word-classes")
-    prior = vocab.totals / vocab.totals.sum()
-
-    learned = encoded.where(~F.col("held_out"))
-    sample = lowest(learned.select("classes", "key"), F.xxhash64("key"), SAMPLE_ROWS).select("classes").toPandas()
-    model = first_guess([np.frombuffer(b, "<u2").astype(np.int64) for b in sample["classes"]], prior, states, SAMPLE_ITERATIONS)
+    vocab = vocabulary(counts, training.count())
+    discard(counts)
+    encoded = staged(_encoded(source), "word-numbers")
+    model = first_guess(vocab.prior, states)
     for _ in range(iterations):
-        model = _iteration(learned, model, prior)
-
-    # words outside the head: their counts come from the table, and without one they are unknown
-    other_counts = counts.where(F.col("c") < vocab.least)
-    others = (
-        _exploded(encoded).groupBy("key", "h").agg(F.count("*").alias("tf"))
-        .join(other_counts, "h", "left")
-        .groupBy("key").agg(
-            F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more_logs"),
-        )
-    )
-    given = docs.sparkSession.sparkContext.broadcast(model)
-    keep = ["key", "id", "held_out", "n_tokens", "n_known", "count_logs", "class_logs"]
-    kinds = {f.name: f.dataType.simpleString() for f in encoded.schema}
+        model = _iteration(encoded, model, vocab)
+
+    slices = max(LEAST_SLICES, encoded.count().bit_length() - 1)
+    told = staged(_merged(_word_states(encoded, model, vocab, slices), states), "word-states", PARTS_BATCH)
+    totals = np.zeros(states)
+    for row in told.where("totals is not null").selectExpr("posexplode(totals) AS (k, v)").groupBy("k").agg(F.sum("v").alias("v")).collect():
+        totals[row["k"]] = row["v"]
+    of_part = told.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("slice", "n", "shares"))).alias("told"))
+    kind = source.schema["id"].dataType.simpleString()
+    denominator = float(np.log10(vocab.tokens + 0.5 * (vocab.types + 1)))
 
     def run(batches):
-        for rows, sequences in _sequences(batches, "classes"):
-            scores = np.empty(len(sequences))
-            for which, strip in strips(sequences):
-                scores[which] = strip.log10(given.value)
-            part = pa.Table.from_batches(rows).select(keep).append_column("class_score", pa.array(scores))
-            yield from part.combine_chunks().to_batches()
-
-    scored = encoded.select(*keep, "classes").mapInArrow(run, ", ".join(f"{k} {kinds[k]}" for k in keep) + ", class_score double")
-    more = F.coalesce("more_logs", F.lit(0.0))
-    denominator = float(np.log10(vocab.tokens + 0.5 * (vocab.types + 1)))
-    return scored.join(others, "key", "left").select(
-        F.col("id").alias(id_column), "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(vocab.tokens).cast("long").alias("train_tokens"),
-        (F.col("count_logs") + more - F.col("n_tokens") * denominator).alias("base_score"),
-        (F.col("class_score") + F.col("count_logs") + more - F.col("class_logs")).alias("score"),
-    )
+        for batch in batches:
+            for i, row in enumerate(_rows([batch.select(["part", "held_out", "sizes", "vocab", "numbers", "told"])])):
+                part = Part.read(row)
+                n = np.concatenate([unpacked(t["n"], np.int64) for t in row["told"]])
+                shares = np.concatenate([unpacked(t["shares"], np.uint16).reshape(states, -1) for t in row["told"]], 1).T
+                emit = emissions(n, shares, totals, vocab.tokens, vocab.types)
+                n, emit = np.r_[n[1:], n[:1]], np.r_[emit[1:], emit[:1]]
+                m = Model(model.start, model.move, emit)
+                scores = np.empty(len(part.sequences))
+                for which, strip in strips(part.sequences):
+                    scores[which] = strip.log10(m)
+                size = np.array([len(s) for s in part.sequences])
+                first = np.cumsum(size) - size
+                every = np.concatenate(part.sequences)
+                logs = np.add.reduceat(np.log10(n + 0.5)[every], first)
+                known = np.add.reduceat((n > 0)[every].astype(np.int64), first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("ids")[i].values, pa.array(part.held_out), pa.array(size), pa.array(known),
+                        pa.array(np.full(len(size), vocab.tokens)), pa.array(logs - size * denominator), pa.array(scores),
+                    ],
+                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    scored = encoded.join(of_part, "part").mapInArrow(
+        run, f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    )
+    return staged(scored, "word-scores", PARTS_BATCH).withColumnRenamed("id", id_column)

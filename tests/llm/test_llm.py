@@ -7,12 +7,13 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parcel_engine.llm import hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
+from parcel_engine.llm import common, hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
 from parcel_engine.llm.common import fold, lowest, new_folder
 from parcel_engine.llm.tokens import Encoder
 
@@ -85,13 +86,71 @@ def test_baum_welch_raises_the_likelihood():
     rng = np.random.default_rng(3)
     sequences = [rng.integers(0, 20, 50) + 100 * (i % 2) for i in range(40)]
     prior = np.full(hmm.CLASSES, 1 / hmm.CLASSES)
-    score = lambda n: sum(s.log10(hmm.first_guess(sequences, prior, 2, n)).sum() for _, s in hmm.strips(sequences))
-    assert score(6) > score(1) > score(0)
-
-
-@pytest.mark.parametrize("head", [3, 1 << 20])
-def test_hmm_base_scores(docs, head):
-    out = hmm.hmm_scores(docs, fold("doc_id", 5) == 1, iterations=1, head=head).collect()
+    m, scores = hmm.first_guess(prior, 2), []
+    for _ in range(8):
+        scores.append(sum(s.log10(m).sum() for _, s in hmm.strips(sequences)))
+        parts = [s.counts(m) for _, s in hmm.strips(sequences)]
+        m = hmm.reestimate(*(sum(p[k] for p in parts) for k in range(3)), prior)
+    assert scores == sorted(scores) and scores[-1] > scores[0] + 500
+
+
+def plain_hmm(rows, held, states, iterations):
+    """The same model by loops over single texts, words by name."""
+    texts = [[*WORD.findall(lower(t)), "\n"] for _, t in rows]
+    learned = [t for (i, _), t in zip(rows, texts) if not held(i)]
+    c = Counter(w for t in learned for w in t)
+    names = sorted({w for t in texts for w in t} - {"\n"})
+    (chunk,) = common.words(pa.array([" ".join(names)]), lower=False)
+    hashes = dict(zip(names, chunk.hashes().tolist()))
+    own = sorted(sorted((w for w in c if w != "\n"), key=lambda w: (-c[w], int(np.uint64(hashes[w]).view(np.int64))))[: hmm.OWN], key=hashes.get)
+    class_of = {w: hmm.OWN + hashes[w] % hmm.SHARED for w in names} | {w: k for k, w in enumerate(own)} | {"\n": hmm.END}
+    totals = np.full(hmm.CLASSES, 0.5)
+    for w in c:
+        totals[class_of[w]] += c[w] + (0.5 if hmm.OWN <= class_of[w] < hmm.END else 0)
+    prior = totals / totals.sum()
+
+    def posteriors(m, text, emit):
+        e = np.array([emit[w] for w in text])
+        alpha, beta = np.zeros(e.shape), np.ones(e.shape)
+        for t in range(len(e)):
+            alpha[t] = (alpha[t - 1] @ m.move if t else m.start) * e[t]
+            alpha[t] /= alpha[t].sum()
+        for t in range(len(e) - 2, -1, -1):
+            beta[t] = m.move @ (e[t + 1] * beta[t + 1])
+            beta[t] /= beta[t].sum()
+        gamma = alpha * beta
+        moves = [np.outer(alpha[t], e[t + 1] * beta[t + 1]) * m.move for t in range(len(e) - 1)]
+        return gamma / gamma.sum(1, keepdims=True), sum((x / x.sum() for x in moves), np.zeros((states, states)))
+
+    m = hmm.first_guess(prior, states)
+    for _ in range(iterations):
+        start, move, tied = np.zeros(states), np.zeros((states, states)), np.zeros((hmm.CLASSES, states))
+        for text in learned:
+            gamma, moves = posteriors(m, text, {w: m.emit[class_of[w]] / prior[class_of[w]] for w in text})
+            start, move = start + gamma[0], move + moves
+            for w, g in zip(text, gamma):
+                tied[class_of[w]] += g
+        m = hmm.reestimate(start, move, tied, prior)
+    g = {w: np.zeros(states) for w in c}
+    for text in learned:
+        for w, p in zip(text, posteriors(m, text, {w: m.emit[class_of[w]] / prior[class_of[w]] for w in text})[0]):
+            g[w] = g[w] + p
+    n, total = sum(c.values()), sum(g.values(), np.zeros(states))
+    emit = lambda w: (n * g.get(w, np.zeros(states)) / total + 0.5) / (n + 0.5 * (len(c) + 1))
+    scores = []
+    for text in texts:
+        log, a = 0.0, m.start
+        for t, w in enumerate(text):
+            a = (a @ m.move if t else a) * emit(w)
+            log, a = log + np.log10(a.sum()), a / a.sum()
+        scores.append(log)
+    return scores
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_hmm_scores(docs, parts):
+    docs = docs.where("doc_id IS NULL OR doc_id NOT IN (8, 9)").repartition(parts)
+    out = hmm.hmm_scores(docs, fold("doc_id", 5) == 1, states=3, iterations=2).collect()
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
     tokens = [(i, [*WORD.findall(lower(t)), "\n"]) for i, t in rows]
@@ -100,7 +159,22 @@ def test_hmm_base_scores(docs, head):
     base = lambda t: sum(np.log10((c[w] + 0.5) / (n + 0.5 * (len(c) + 1))) for w in t)
     want = sorted((str(i), held(i), len(t), sum(c[w] > 0 for w in t), n, round(base(t), 6)) for i, t in tokens)
     assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == want
-    assert all(np.isfinite(r.score) and r.score < 0 for r in out)
+    plain = sorted((str(i), s) for (i, _), s in zip(rows, plain_hmm(rows, held, 3, 2)))
+    for (i, score), r in zip(plain, sorted(out, key=lambda r: (str(r.doc_id), r.score))):
+        assert i == str(r.doc_id) and abs(r.score - score) < 1e-3 * r.n_tokens
+
+
+def test_hmm_emissions_add_up_and_long_texts(spark):
+    rng = np.random.default_rng(6)
+    n, shares = rng.integers(1, 9, 50), rng.integers(0, 65_536, (50, 4)).astype(np.uint16)
+    totals, tokens = hmm.expected(n, shares).sum(0), int(n.sum())
+    unseen = hmm.emissions(np.zeros(1, int), np.zeros((1, 4), np.uint16), totals, tokens, 50)
+    assert np.allclose(hmm.emissions(n, shares, totals, tokens, 50).sum(0) + unseen[0], 1)
+    rows = [(1, "a b c " * 200_000), (2, "a"), (3, None)]
+    out = hmm.hmm_scores(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 2, iterations=1).collect()
+    assert {r.doc_id: r.n_tokens for r in out} == {1: 600_001, 2: 2, 3: 1} and all(np.isfinite(r.score) for r in out)
+    untrained = hmm.hmm_scores(spark.createDataFrame(rows[1:], "doc_id long, text string"), F.lit(True), iterations=1).collect()
+    assert {(r.score, r.base_score, r.n_known, r.train_tokens) for r in untrained} == {(0.0, 0.0, 0, 0)}
 
 
 def test_warc_round_trip(spark):
