@@ -15,6 +15,8 @@ DAY = ("courier_id", "event_date")
 P95 = 0.95
 
 _COUNTS = ("total_deliveries", "delivered_count", "failed_count", "on_time_count")
+#: What a histogram counts; the last is events with a verdict.
+HISTOGRAM_COUNTS = (*_COUNTS, "_judged")
 
 
 def _counts() -> list[Column]:
@@ -72,7 +74,7 @@ def duration_stats(histogram: DataFrame, percentile: float = P95) -> DataFrame:
     seconds = F.round(hours * 3600).cast("long").cast("decimal(20,0)") * F.col("_timed")
     mean = ratio2(F.sum(seconds), F.sum("_timed") * 3600)
     return ranked.groupBy(*DAY).agg(
-        *[F.sum(c).alias(c) for c in (*_COUNTS, "_judged")],
+        *[F.sum(c).alias(c) for c in HISTOGRAM_COUNTS],
         mean.alias("avg_duration_hours"),
         round2(F.min(F.when(reached, hours))).alias("p95_duration_hours"),
     )
@@ -99,8 +101,16 @@ def courier_daily_kpis(
             round2(F.avg(hours)).alias("avg_duration_hours"),
             round2(F.percentile_approx(hours, P95)).alias("p95_duration_hours"),
         )
-    else:
-        daily = duration_stats(duration_histogram(facts))
+        return _finished(daily, run_ts)
+    return kpis_of(duration_histogram(facts), run_ts)
+
+
+def kpis_of(histogram: DataFrame, run_ts: datetime | None = None) -> DataFrame:
+    """The ten KPI columns from a histogram of durations."""
+    return _finished(duration_stats(histogram), run_ts)
+
+
+def _finished(daily: DataFrame, run_ts: datetime | None) -> DataFrame:
     rate = _rate(F.col("on_time_count"), F.col("_judged"))
     return (
         daily.withColumn("on_time_rate_pct", rate)

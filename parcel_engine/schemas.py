@@ -78,15 +78,19 @@ KPI = StructType(
 WATERMARK = StructType(_required(job=STRING, watermark_ts=TIMESTAMP, run_date=STRING))
 
 
+def require_columns(df: DataFrame, schema: StructType) -> None:
+    missing = [name for name in schema.fieldNames() if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the input: {', '.join(missing)}")
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast and reorder the columns of ``df`` to ``schema``; extra columns are dropped.
 
     Casts follow the session's ANSI mode, so a malformed value raises instead of
     turning into a null. A missing column raises here, before any job starts.
     """
-    missing = [name for name in schema.fieldNames() if name not in df.columns]
-    if missing:
-        raise ValueError(f"columns missing from the input: {', '.join(missing)}")
+    require_columns(df, schema)
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 

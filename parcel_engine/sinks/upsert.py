@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -34,6 +34,7 @@ def upsert(
     order_by: str | None = None,
     check_unique: bool = True,
     target_days: Iterable[date] | None = None,
+    on_change: Callable[[DataFrame, DataFrame, set[date]], None] | None = None,
 ) -> UpsertResult:
     """Merge ``source`` into ``table``, which is partitioned by ``event_date``.
 
@@ -43,6 +44,8 @@ def upsert(
     created. Running the same source again changes nothing.
 
     Returns the number of source rows applied and the days whose content may have changed.
+    ``on_change`` is called before the table changes, with the rows that will be replaced, those
+    that take their place or are new, and these days.
 
     The source is computed once, into a staged table. Of the target, only keys and days
     are read to find the matches, and where the caller knows the ``target_days`` that may
@@ -60,7 +63,7 @@ def upsert(
     with staging(spark) as stage:
         if not spark.catalog.tableExists(table):
             ensure_table(spark, table, source.schema)
-        if not check_unique and not partitions(spark, table):
+        if not check_unique and on_change is None and not partitions(spark, table):
             rows = append(_with_days(source), table)["rows"]
             return UpsertResult(rows, partitions(spark, table))
         staged = stage.keep(source)
@@ -77,6 +80,8 @@ def upsert(
         if not incoming:
             return UpsertResult(0, set())
         matched, emptied = _match_days(staged, target, keys, set(incoming))
+        if on_change is not None:
+            on_change(_replaced(staged, target, keys, matched), staged, matched | set(incoming))
         _apply(staged, table, keys, matched, set(incoming), emptied - set(incoming))
     return UpsertResult(sum(incoming.values()), matched | set(incoming))
 
@@ -153,6 +158,14 @@ def _match_days(
     return matched, {r[PARTITION] for r in days if r["hits"] == r["n"]}
 
 
+def _replaced(
+    source: DataFrame, target: DataFrame, keys: list[str], matched: set[date]
+) -> DataFrame:
+    """The target rows that a source row replaces; read of the days that hold one."""
+    rows = date_slice(target, sorted(matched)).filter(_complete(keys))
+    return rows.join(source.select(*keys).filter(_complete(keys)), keys, "left_semi")
+
+
 def _apply(
     source: DataFrame,
     table: str,

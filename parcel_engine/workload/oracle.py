@@ -265,4 +265,50 @@ ORACLE: dict[str, str] = {
         _kpis("facts", "kpis"),
         select="SELECT * EXCLUDE (_aggregated_at) FROM kpis",
     ),
+    "order_index": _with(
+        _TWO_RUNS,
+        select="""SELECT DISTINCT event_id AS key, order_id AS other, event_date, 'event' AS side FROM ingested
+          UNION ALL SELECT DISTINCT order_id, event_id, CAST(NULL AS DATE), 'order' FROM ingested""",
+    ),
+    "kpi_signed_deltas": _with(
+        f"early AS (SELECT * FROM raw WHERE event_timestamp <= {WATERMARK})",
+        _facts("early", "known", q.TIGHT_SLA),
+        _facts("raw", "facts"),
+        f"late AS (SELECT * FROM facts WHERE event_date >= DATE '{q.CHANGE_DAY}')",
+        """two AS (SELECT * FROM late UNION ALL
+  SELECT * FROM known WHERE event_id NOT IN (SELECT event_id FROM late))""",
+        f"""moved AS (SELECT * REPLACE (event_date + {q.MOVED_BY} AS event_date)
+  FROM facts WHERE event_date IN ({MOVED_DAYS}))""",
+        """three AS (SELECT * FROM moved UNION ALL
+  SELECT * FROM two WHERE event_id NOT IN (SELECT event_id FROM moved))""",
+        _kpis("three", "kpis"),
+        select="SELECT * FROM kpis",
+    ),
+    "reconcile_raw": _with(
+        f"""whole AS (SELECT raw.* REPLACE (
+    CASE WHEN {_FIRST} THEN {WATERMARK} ELSE {RUN_TS} END AS _ingested_at) FROM raw)""",
+        select=f"SELECT {RAW_COLUMNS} FROM whole",
+    ),
+    "kpi_weekly_sketch": _with(
+        _facts("raw", "facts"),
+        select="""SELECT courier_id, CAST(date_trunc('week', event_date) AS DATE) AS week,
+            count(delivery_duration_hours) AS timed, TRUE AS within
+          FROM facts WHERE delivery_duration_hours IS NOT NULL GROUP BY ALL""",
+    ),
+    "quarantine_accepted": _with(
+        select=f"""SELECT {SOURCE_COLUMNS} FROM mapped
+          WHERE CAST(event_id AS BIGINT) % 97 <> 0 AND CAST(event_id AS BIGINT) % 101 <> 0
+            AND CAST(event_id AS BIGINT) % 89 <> 0""",
+    ),
+    "quarantine_refused": _with(
+        select="""SELECT event_id, 'event_timestamp' AS "column", 'malformed' AS reason, 'soon' AS value
+          FROM mapped WHERE CAST(event_id AS BIGINT) % 97 = 0
+          UNION ALL SELECT event_id, 'location_lat', 'malformed', 'north'
+          FROM mapped WHERE CAST(event_id AS BIGINT) % 89 = 0
+          UNION ALL SELECT event_id, 'event_type', 'missing', NULL
+          FROM mapped WHERE CAST(event_id AS BIGINT) % 101 = 0""",
+    ),
+    "scan_by_quantile": _with(
+        select="SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS parts, TRUE AS balanced FROM mapped"
+    ),
 }

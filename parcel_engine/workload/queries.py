@@ -25,12 +25,22 @@ from parcel_engine.operators.kpis import (
     kpi_counts,
     kpi_on_time_rate,
 )
+from parcel_engine.operators.sketches import (
+    RANK_ERROR,
+    duration_sketches,
+    merged_sketches,
+    sketched_quantile,
+)
 from parcel_engine.plans.aggregate import aggregate
 from parcel_engine.plans.daily import Tables, run_daily, run_dates
+from parcel_engine.plans.deltas import counted_kpis, upsert_counted
 from parcel_engine.plans.ingest import ingest
+from parcel_engine.plans.reconcile import reconcile
 from parcel_engine.plans.transform import transform
 from parcel_engine.schemas import FACT, KPI, RAW, SOURCE, WATERMARK, conform
-from parcel_engine.session import session_conf
+from parcel_engine.session import session_conf, staging
+from parcel_engine.sinks.order_index import OrderIndex
+from parcel_engine.sinks.quarantine import accept
 from parcel_engine.sinks.tables import (
     append,
     compact_partitions,
@@ -39,6 +49,7 @@ from parcel_engine.sinks.tables import (
     partitions,
 )
 from parcel_engine.sinks.upsert import upsert
+from parcel_engine.sources.cuts import cut_predicates, quantile_cuts
 from parcel_engine.sources.tables import date_slice, incremental_scan
 from parcel_engine.workload.lab import base_raw, fresh_table, zoneless
 from parcel_engine.workload.mapping import raw_events, source_rows
@@ -422,3 +433,109 @@ def daily_runs(spark, sf_dir):
     every = {"start": watermark.EVERYTHING}
     run_daily(spark, source, tables, RUN_TS, ingest_options=every)
     return spark.table(tables.kpis).drop("_aggregated_at")
+
+
+# --- order index, KPI deltas, reconciliation, sketches, quarantine, cuts ---------------
+
+
+@query("order_index")
+def order_index(spark, sf_dir):
+    """Built between two ingests, so the second extends it; both of its sides."""
+    raw, log = fresh_table(spark, "indexed_raw"), fresh_table(spark, "indexed_log")
+    source = source_rows(spark, sf_dir)
+    ingest(spark, _first_source(source), raw, log, WATERMARK_TS, lookback=timedelta(days=30))
+    index = OrderIndex.build(spark, raw)
+    ingest(spark, source, raw, log, RUN_TS)
+    sides = [index.entries(side).withColumn("side", F.lit(side)) for side in ("event", "order")]
+    return sides[0].unionByName(sides[1])
+
+
+@query("kpi_signed_deltas")
+def kpi_signed_deltas(spark, sf_dir):
+    """KPIs from the histogram after three upserts: first load, late facts, facts that move."""
+    facts, histogram = fresh_table(spark, "counted_facts"), fresh_table(spark, "histogram")
+    early = raw_events(spark, sf_dir).filter(
+        F.col("event_timestamp") <= F.lit(WATERMARK_TS).cast("timestamp_ntz")
+    )
+    known = delivery_facts(early, sla_hours=TIGHT_SLA, run_ts=RUN_TS)
+    late = _facts(spark, sf_dir).filter(F.col("event_date") >= F.lit(CHANGE_DAY))
+    moved = date_slice(_facts(spark, sf_dir), MOVED).withColumn(
+        "event_date", F.date_add("event_date", MOVED_BY)
+    )
+    for batch in (known, late, moved):
+        upsert_counted(conform(batch, FACT), facts, histogram)
+    return conform(counted_kpis(spark, histogram, run_ts=RUN_TS), KPI)
+
+
+@query("reconcile_raw")
+def reconcile_raw(spark, sf_dir):
+    """Raw after runs that lost late rows, made whole by comparing checksums."""
+    raw, log = fresh_table(spark, "checked_raw"), fresh_table(spark, "checked_log")
+    source = source_rows(spark, sf_dir)
+    ingest(spark, _first_source(source), raw, log, WATERMARK_TS, lookback=timedelta(days=30))
+    ingest(spark, source, raw, log, RUN_TS, overlap=timedelta(0))
+    reconcile(spark, source, raw, RUN_TS)
+    return spark.table(raw).select(*RAW.fieldNames())
+
+
+@query("kpi_weekly_sketch")
+def kpi_weekly_sketch(spark, sf_dir):
+    """Merged daily sketches: is the weekly 95th percentile within the stated error of rank?"""
+    facts = _facts(spark, sf_dir)
+    week = F.to_date(F.date_trunc("week", "event_date"))
+    weekly = merged_sketches(duration_sketches(facts).withColumn("week", week), ["courier_id", "week"])
+    found = sketched_quantile(weekly)
+    hours = F.col("delivery_duration_hours")
+    timed = facts.filter(hours.isNotNull()).select("courier_id", week.alias("week"), hours)
+    ranks = timed.join(found, ["courier_id", "week"]).groupBy("courier_id", "week", "timed").agg(
+        F.avg((hours < F.col("p95_duration_hours")).cast("int")).alias("below"),
+        F.avg((hours <= F.col("p95_duration_hours")).cast("int")).alias("up_to"),
+    )
+    near = (F.col("below") - RANK_ERROR <= 0.95) & (F.col("up_to") + RANK_ERROR >= 0.95)
+    return ranks.select("courier_id", "week", "timed", near.alias("within"))
+
+
+def _untyped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source as text, with values that do not fit: times, places and types of some events."""
+    rows = source_rows(spark, sf_dir)
+    number = F.col("event_id").cast("long")
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    return text.withColumns(
+        {
+            "event_timestamp": F.when(number % 97 == 0, F.lit("soon")).otherwise(F.col("event_timestamp")),
+            "location_lat": F.when(number % 89 == 0, F.lit("north")).otherwise(F.col("location_lat")),
+            "event_type": F.when(number % 101 != 0, F.col("event_type")),
+        }
+    )
+
+
+@query("quarantine_accepted")
+def quarantine_accepted(spark, sf_dir):
+    table, kept = fresh_table(spark, "refused"), fresh_table(spark, "accepted")
+    with staging(spark) as stage:
+        accept(_untyped(spark, sf_dir), SOURCE, table, stage, RUN_TS).write.saveAsTable(kept)
+    return spark.table(kept)
+
+
+@query("quarantine_refused")
+def quarantine_refused(spark, sf_dir):
+    table = fresh_table(spark, "refused_only")
+    with staging(spark) as stage:
+        accept(_untyped(spark, sf_dir), SOURCE, table, stage, RUN_TS)
+    problem = spark.table(table).select("row", F.explode("problems").alias("problem"))
+    event = F.get_json_object("row", "$.event_id").alias("event_id")
+    return problem.select(event, "problem.column", "problem.reason", "problem.value")
+
+
+@query("scan_by_quantile")
+def scan_by_quantile(spark, sf_dir):
+    """A scan cut by quantiles of a column: whole, each row once, parts of like size."""
+    rows = source_rows(spark, sf_dir)
+    predicates = cut_predicates("location_lat", quantile_cuts(rows, "location_lat", 8))
+    parts = [rows.filter(p).select("event_id", F.lit(i).alias("part")) for i, p in enumerate(predicates)]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    sizes = every.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    balanced = F.max("n") < 2 * F.percentile("n", 0.5)
+    return sizes.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("parts"), balanced.alias("balanced"))
