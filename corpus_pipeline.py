@@ -21,7 +21,7 @@ ORACLE_SQL = None
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine does not call toxic; learned from all labels."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    return toxicity.toxicity(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.without_toxic(docs, model)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

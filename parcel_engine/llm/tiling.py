@@ -2,14 +2,18 @@
 
 Words are lower-cased and lose punctuation at their ends. Runs of ``SEED`` words that a document
 shares with a benchmark item (an exact join of their hashes, behind a bitmap of fixed size that
-spares the join most other runs) make the two a candidate pair. The pair is tiled: Karp-Rabin
+spares the join most other runs) make the two a candidate pair, if they are enough: a tile of L words
+holds L - 4 runs, so tiles that cover enough of the item hold a fifth as many runs at least, and a
+phrase that all share makes no pairs. The pair is tiled: Karp-Rabin
 hashes find matches of a search length, the longest are marked first, marked words take no part in
 later matches, and the search length falls until ``SEED``. Tiles may stand in any order, so
 passages that were moved around count. A pair is a leak if tiles cover enough of the item.
 
 Defined cases: null and empty texts have no words and leak nothing; an item of fewer than ``SEED``
 words cannot be told from chance and matches nothing; repeated documents or items give one row for
-each pair of ids; a row with a null id is compared under that null id.
+each pair of ids; a row with a null id is compared under that null id. ``without_leaks`` judges each
+row by its text, so rows that share an id, or have none, go or stay apart; all columns return as
+they were, whatever their names. ``find_leaks`` ignores other columns.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import BASE, U64, bitmap, mix, staged, windows, words
+from parcel_engine.llm.common import BASE, U64, bitmap, mix, numbered, staged, windows, words
 
 SEED = 5
 START = 20
@@ -96,28 +100,33 @@ def _hash_rows(column: pa.Array) -> list[np.ndarray]:
 
 
 def _item_seeds(items: DataFrame, seed: int) -> DataFrame:
+    """(item_id, seed, times, n_words): each run of an item, how often it has it, and its words."""
     kind = items.schema["item_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for c in words(batch.column(1), lower=True, trim=True):
                 grams, first = windows(c, c.hashes(), seed)
-                rows = c.row_of()[first] + c.first_row
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(grams.view(np.int64))], ["item_id", "seed"])
+                rows = c.row_of()[first]
+                size = np.diff(c.at)[rows]
+                ids = batch.column(0).take(pa.array(rows + c.first_row))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(grams.view(np.int64)), pa.array(size)], ["item_id", "seed", "n_words"])
 
-    return items.mapInArrow(run, f"item_id {kind}, seed long").distinct()
+    runs = items.mapInArrow(run, f"item_id {kind}, seed long, n_words long")
+    return runs.groupBy("item_id", "seed").agg(F.count("*").alias("times"), F.max("n_words").alias("n_words"))
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
-               seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
-    """Pairs (id, item_id) whose tiles cover at least ``coverage`` of the item's words.
+def _key(id_column, text_column):
+    """One key for rows of the same id and text, which are judged alike."""
+    text = F.coalesce(text_column, F.lit(""))
+    return F.xxhash64(F.coalesce(id_column.cast("string"), F.lit("")), id_column.isNull(), text)
 
-    With ``coverage``, ``n_tiles``, and ``n_words`` of the item. ``items`` has item_id and text.
-    """
+
+def _leaks(source: DataFrame, items: DataFrame, seed: int, coverage: float) -> DataFrame:
+    """(key, id, item_id, coverage, n_tiles, n_words) of the pairs that leak; ``source`` has id and text."""
     items = items.select("item_id", F.col("text").alias("item_text"))
     seeds = staged(_item_seeds(items, seed), "benchmark-seeds")
-    given = docs.sparkSession.sparkContext.broadcast(bitmap(seeds, "seed"))
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    given = source.sparkSession.sparkContext.broadcast(bitmap(seeds, "seed"))
     kind = source.schema["id"].dataType.simpleString()
 
     def candidates(batches):
@@ -133,37 +142,53 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), lists], ["id", "text", "seeds"])
 
     held = source.mapInArrow(candidates, f"id {kind}, text string, seeds array<long>")
-    held = staged(held.withColumn("key", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "text")), "leak-candidates")
+    held = staged(held.withColumn("key", _key(F.col("id"), F.col("text"))), "leak-candidates")
+    once = held.dropDuplicates(["key"])
     pairs = (
-        held.select("key", F.explode(F.array_distinct("seeds")).alias("seed"))
-        .join(seeds, "seed").select("key", "item_id").distinct()
+        once.select("key", F.explode(F.array_distinct("seeds")).alias("seed"))
+        .join(seeds, "seed").groupBy("key", "item_id").agg(F.sum("times").alias("shared"), F.max("n_words").alias("n_words"))
+        .where(F.col("shared") * seed >= F.col("n_words") * coverage).select("key", "item_id")
     )
-    texts = held.select("key", "id", "text").dropDuplicates(["key"])
+    texts = once.select("key", "id", "text")
 
     def tiles(batches):
         for batch in batches:
             covered, count, size = [], [], []
-            for doc, item in zip(_hash_rows(batch.column(2)), _hash_rows(batch.column(3))):
+            for doc, item in zip(_hash_rows(batch.column(3)), _hash_rows(batch.column(4))):
                 found = tile(doc, item, seed)
                 covered.append(sum(t[2] for t in found) / max(1, len(item)))
                 count.append(len(found))
                 size.append(len(item))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(covered, pa.float64()), pa.array(count, pa.int64()), pa.array(size, pa.int64())],
-                ["id", "item_id", "coverage", "n_tiles", "n_words"],
+                [*batch.columns[:3], pa.array(covered, pa.float64()), pa.array(count, pa.int64()), pa.array(size, pa.int64())],
+                ["key", "id", "item_id", "coverage", "n_tiles", "n_words"],
             )
 
     item_kind = items.schema["item_id"].dataType.simpleString()
-    joined = pairs.join(texts, "key").join(items, "item_id").select("id", "item_id", "text", "item_text")
-    found = joined.mapInArrow(tiles, f"id {kind}, item_id {item_kind}, coverage double, n_tiles long, n_words long")
+    joined = pairs.join(texts, "key").join(items, "item_id").select("key", "id", "item_id", "text", "item_text")
+    found = joined.mapInArrow(tiles, f"key long, id {kind}, item_id {item_kind}, coverage double, n_tiles long, n_words long")
+    return found.where(F.col("coverage") >= coverage)
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
+               seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+    """Pairs (id, item_id) whose tiles cover at least ``coverage`` of the item's words.
+
+    With ``coverage``, ``n_tiles``, and ``n_words`` of the item. ``items`` has item_id and text.
+    """
+    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return (
-        found.where(F.col("coverage") >= coverage)
+        _leaks(source, items, seed, coverage)
         .groupBy("id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("n_tiles").alias("n_tiles"), F.max("n_words").alias("n_words"))
         .withColumnRenamed("id", id_column)
     )
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents in which no item leaks; rows with a null id stay."""
-    leaks = find_leaks(docs, items, id_column=id_column, **options).select(id_column).distinct()
-    return docs.join(leaks, id_column, "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
+                  seed: int = SEED, coverage: float = COVERAGE) -> DataFrame:
+    """The documents in which no item leaks."""
+    renamed, names, _ = numbered(docs)
+    ident, text = F.col(names[id_column]), F.col(names[text_column])
+    leaks = _leaks(renamed.select(ident.alias("id"), text.alias("text")), items, seed, coverage)
+    kept = renamed.withColumn("_key", _key(ident, text)).join(leaks.select(F.col("key").alias("_key")).distinct(), "_key", "left_anti")
+    return kept.select(*(F.col(k).alias(name) for name, k in names.items()))

@@ -51,7 +51,9 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        names = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.names = re.compile("|".join(names), re.IGNORECASE).search
+        self.marks = {re.match(r"\W*", t.content)[0] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.spaced = spaced
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -103,7 +105,18 @@ class Encoder:
         get = self.parts.__getitem__
         self.known.update((s, b"".join(map(get, c))) for s, c in zip(stretches, cut))
 
+    def named(self, text: str) -> bool:
+        """Whether the text may hold the name of a special token: such texts go to the library whole."""
+        return any(m in text for m in self.marks) and self.names(text) is not None
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if self.named(t)]
+        found = self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
+        ids = {i: np.array(f.ids, "<u4").tobytes() for i, f in zip(whole, found)}
+        cut = iter(self._cut_and_encode([t for i, t in enumerate(texts) if i not in ids]))
+        return [ids[i] if i in ids else next(cut) for i in range(len(texts))]
+
+    def _cut_and_encode(self, texts: list[str]) -> list[bytes]:
         parts = [self.cut(t) for t in texts]
         heads = [b""] * len(texts)
         if self.spaced:  # the first stretch has no space before it

@@ -1,13 +1,17 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are lower-cased words without punctuation at their ends, and their first 4 to 8
-bytes, hashed to 2**30 buckets; a document has a term or not. The terms that tell the two labels
-of a bounded sample apart best (chi-squared) become features, and the machine learns for each a
-weight and a vector whose inner products are pair weights, so that two terms can mean together
-what neither means alone. Scores are probabilities.
+bytes, hashed to 2**30 buckets; a document has a term or not. Features are the terms that tell the
+two labels of a bounded sample apart best (chi-squared), and the terms of pairs that do so together
+better than either alone, be their own part in it nothing: every pair of the ``CANDIDATES`` most
+frequent terms and the best single ones is counted. The machine learns for each feature a weight and
+a vector whose inner products are pair weights, so that two terms can mean together what neither
+means alone. Scores are probabilities.
 
 Defined cases: a null text is an empty one and scores as the intercept says; repeated rows score
 alike; without labels of both kinds every score is the share of toxic labels (0 without labels).
+Ties between terms go to the smaller hash. ``without_toxic`` returns the documents' columns as they
+were, whatever their names; ``toxicity`` replaces columns that have the names of its own.
 """
 
 from __future__ import annotations
@@ -20,13 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcel_engine.llm.common import U64, lowest, numbered, staged, words
+from parcel_engine.llm.common import U64, discard, lowest, numbered, staged, words
 
 #: Labelled rows that train the model, at most; chosen by a hash of the id.
 TRAIN_ROWS = 12_000
 FEATURES = 2048
 #: Chi-squared that a feature needs at least; chance gives it to one term in 500,000.
 LEAST_WORTH = 25.0
+#: Terms whose pairs are counted, as many by frequency as by worth.
+CANDIDATES = 1024
+#: Chi-squared by which a pair must surpass its better term; half a million pairs pass less by chance.
+LEAST_GAIN = 40.0
 FACTORS = 4
 THRESHOLD = 0.7
 BUCKETS_BITS = 30
@@ -109,8 +117,55 @@ def fit(terms: np.ndarray, docs: list[np.ndarray], label: np.ndarray, *, factors
     return Machine(terms, float(params[2][0]), params[0], params[1])
 
 
+def worth(both, toxic, n: float, p: float):
+    """Chi-squared of a mark that ``both`` of ``n`` documents have, ``toxic`` of the ``p`` toxic ones."""
+    gap = toxic * n - both * p  # the determinant of the two-by-two table
+    return gap * gap * n / (both * (n - both) * max(p * (n - p), 1) + 1)
+
+
+def pair_terms(docs: list[np.ndarray], label: np.ndarray, terms: int, features: int = FEATURES) -> np.ndarray:
+    """Terms, by number, of the pairs that gain most over their better term."""
+    if not terms:
+        return np.zeros(0, np.int64)
+    held = np.zeros((len(docs), terms), np.float32)
+    held[np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.concatenate([*docs, np.zeros(0, np.int64)])] = 1
+    toxic = held[label > 0]
+    both, bad = held.T @ held, toxic.T @ toxic
+    chi = worth(both.astype(np.float64), bad.astype(np.float64), len(docs), float(label.sum()))
+    alone = np.diag(chi)
+    gain = np.triu(chi - np.maximum(alone[:, None], alone), 1)
+    # a mark of four documents at least, as for single terms
+    gain[both < 4] = 0
+    found = np.flatnonzero(gain.ravel() >= LEAST_GAIN)
+    best = found[np.argsort(-gain.ravel()[found], kind="stable")][: features // 2]
+    return np.unique(np.concatenate(np.unravel_index(best, gain.shape)))
+
+
+def _numbers(held: DataFrame, terms: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The sample's documents as numbers of the sorted ``terms``, and their labels, in a fixed order."""
+    given = held.sparkSession.sparkContext.broadcast(terms)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            at, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+            where = np.searchsorted(given.value, flat)
+            hit = np.zeros(len(flat), bool)
+            if len(given.value):
+                hit = given.value[np.minimum(where, len(given.value) - 1)] == flat
+            before = np.concatenate([[0], np.cumsum(hit)])
+            out = pa.ListArray.from_arrays(pa.array(before[at].astype(np.int32)), pa.array(where[hit].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), out], ["label", "terms"])
+
+    rows = held.mapInArrow(run, "label int, terms array<int>").toPandas()
+    given.destroy()
+    docs = [np.asarray(t, np.int64) for t in rows["terms"]]
+    order = sorted(range(len(docs)), key=lambda i: (docs[i].tobytes(), rows["label"][i]))
+    return [docs[i] for i in order], rows["label"].to_numpy(float)[order]
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
-          rows: int = TRAIN_ROWS, features: int = FEATURES) -> Machine:
+          rows: int = TRAIN_ROWS, features: int = FEATURES, candidates: int = CANDIDATES) -> Machine:
     """Learn from at most ``rows`` labelled documents; ``labels`` has the id and ``toxic`` 0 or 1."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col(id_column).isNotNull())
@@ -134,43 +189,26 @@ def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text
     )
     total = held.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("p")).first()
     n, p = total["n"], total["p"]
-    a, c = F.col("with"), F.col("toxic")
-    gap = c * n - a * p  # the determinant of the two-by-two table
-    best = (
+    value = worth(F.col("with").cast("double"), F.col("toxic").cast("double"), n, p)
+    counted = (
         held.select("label", F.explode("terms").alias("term"))
         .groupBy("term").agg(F.count("*").alias("with"), F.sum("label").alias("toxic"))
-        .where("with >= 4")
-        .select("term", (gap.cast("double") * gap * n / (a * (n - a) * max(p * (n - p), 1) + 1)).alias("worth"))
-        .where(F.col("worth") >= LEAST_WORTH)
-        .orderBy(F.desc("worth"), "term").limit(features).toPandas()
+        .where("with >= 4").select("term", "with", value.alias("worth"))
     )
-    terms = np.sort(best["term"].to_numpy(np.int64))
-    spare = held.sparkSession.sparkContext.broadcast(terms)
-
-    def features_of(batches):
-        for batch in batches:
-            lists = batch.column(1)
-            at, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
-            where = np.searchsorted(spare.value, flat)
-            hit = np.zeros(len(flat), bool)
-            if len(spare.value):
-                hit = spare.value[np.minimum(where, len(spare.value) - 1)] == flat
-            before = np.concatenate([[0], np.cumsum(hit)])
-            out = pa.ListArray.from_arrays(pa.array(before[at].astype(np.int32)), pa.array(where[hit].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), out], ["label", "terms"])
-
-    rows_of = held.mapInArrow(features_of, "label int, terms array<int>").toPandas()
-    docs_of = [np.asarray(t, np.int64) for t in rows_of["terms"]]
-    order = sorted(range(len(docs_of)), key=lambda i: (docs_of[i].tobytes(), rows_of["label"][i]))
-    return fit(terms, [docs_of[i] for i in order], rows_of["label"].to_numpy(float)[order])
-
-
-def toxicity(docs: DataFrame, model: Machine, *, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents with ``score`` and ``predicted``, over whole texts.
-
-    Columns of these names that the documents already have are replaced.
-    """
-    docs = docs.drop("score", "predicted")
+    counted = staged(counted, "toxic-counts")
+    array = lambda df: np.array([r["term"] for r in df.select("term").collect()], np.int64)
+    best = array(counted.where(F.col("worth") >= LEAST_WORTH).orderBy(F.desc("worth"), "term").limit(features))
+    common = array(counted.orderBy(F.desc("with"), "term").limit(candidates))
+    paired = np.unique(np.concatenate([common, best[:candidates]]))
+    numbers, label = _numbers(held, paired)
+    terms = np.union1d(best, paired[pair_terms(numbers, label, len(paired), features)])
+    learned = fit(terms, *_numbers(held, terms))
+    discard(held, counted)
+    return learned
+
+
+def _scored(docs: DataFrame, model: Machine, text_column: str) -> tuple[DataFrame, dict[str, str]]:
+    """The documents under names that clash with none, with ``score``; those names by old name."""
     given = docs.sparkSession.sparkContext.broadcast(model)
     renamed, names, kinds = numbered(docs)
     text = names[text_column]
@@ -183,7 +221,20 @@ def toxicity(docs: DataFrame, model: Machine, *, text_column: str = "text", thre
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
 
-    out = renamed.mapInArrow(run, f"{kinds}, score double")
-    return out.select(
-        *(F.col(k).alias(name) for name, k in names.items()), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    return renamed.mapInArrow(run, f"{kinds}, score double"), names
+
+
+def toxicity(docs: DataFrame, model: Machine, *, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with ``score`` and ``predicted``, over whole texts.
+
+    Columns of these names that the documents already have are replaced.
+    """
+    out, names = _scored(docs, model, text_column)
+    kept = [F.col(k).alias(name) for name, k in names.items() if name not in ("score", "predicted")]
+    return out.select(*kept, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, model: Machine, *, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that score below the threshold, with the columns they have."""
+    out, names = _scored(docs, model, text_column)
+    return out.where(F.col("score") < threshold).select(*(F.col(k).alias(name) for name, k in names.items()))

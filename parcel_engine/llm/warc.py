@@ -187,8 +187,13 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
 
 
 def read_records(index: DataFrame) -> DataFrame:
-    """The records an index names, each frame read once."""
+    """The records an index names, each frame read once.
+
+    The index is small next to the bundles, so frames are dealt over a stated number of tasks.
+    """
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frames = index.groupBy("bundle", "frame_start").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    frames = frames.repartition(tasks, "bundle", "frame_start").sortWithinPartitions("bundle", "frame_start")
 
     def run(batches):
         name, source, table = None, None, {}

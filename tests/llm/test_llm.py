@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from parcel_engine.llm import common, hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
 from parcel_engine.llm.common import fold, lowest, new_folder
@@ -23,6 +24,7 @@ LONG = " ".join(f"w{i % 977} x{i}" for i in range(6000))
 TEXTS = [
     None, "", " \n\t ", "one", "One two", "a b c d e", "a b c d e", "The cat. The cat. The cat.\nThe cat.\nThe cat.", LONG, LONG + " end",
     "été ÀÉ naïve ẞ idiot, scum! #*$%&|<>", "x " * 400, "All rights reserved.", "Released under the MIT License. All rights reserved.\nNo.",
+    "end <|endoftext|> of", "a <|startoftext|> b <|endoftext|>",
 ]
 
 
@@ -222,7 +224,7 @@ def test_supersteps_fill_like_best_fit_decreasing(lengths):
 def test_packing_and_token_files(docs):
     for op, name in (("pack", "byte_bpe_50k.json"), ("file", "word_bpe_49k.json")):
         path = public_tokenizers.path(name)
-        encoder = Encoder(path, op == "pack").tokenizer
+        encoder = Tokenizer.from_file(path)
         ids_of = lambda t: np.array([*encoder.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         rows = [(r.doc_id, ids_of(r.text)) for r in docs.collect()]
         if op == "pack":
@@ -249,13 +251,15 @@ def test_blocks_round_trip(values):
     assert (pfor.decode_blocks(b"".join(blocks), starts) == ids).all()
 
 
-@given(st.lists(st.sampled_from([" ", "\n", "\t", "a", "The", "don't", "é", "12", ",", ".", "<|endoftext|>", " \n", "\x1c", "　"]), max_size=25))
+@given(st.lists(st.sampled_from([" ", "\n", "\t", "a", "The", "don't", "é", "12", ",", ".", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", " \n", "\x1c", "　"]), max_size=25))
 @settings(deadline=None)
 def test_cut_texts_have_the_ids_of_whole_ones(parts):
     text = "".join(parts)
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
-        e = Encoder(public_tokenizers.path(name), spaced)
-        assert e.encode([text])[0] == np.array(e.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        fresh = Tokenizer.from_file(public_tokenizers.path(name))
+        texts = [text, "plain words, twice", text]
+        want = [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert Encoder(public_tokenizers.path(name), spaced).encode(texts) == want
 
 
 def test_license_scan(docs):
@@ -273,7 +277,49 @@ def test_tiling_finds_reordered_passages(spark):
     items = spark.createDataFrame([(10, item), (11, "too short"), (12, None), (None, "")], "item_id long, text string")
     found = {(r.doc_id, r.item_id): (r.coverage, r.n_tiles) for r in tiling.find_leaks(docs, items).collect()}
     assert found == {(1, 10): (1.0, 2), (None, 10): (1.0, 1), (5, 10): (1.0, 1)}
-    assert {r.doc_id for r in tiling.without_leaks(docs, items).collect()} == {None, 2, 3}
+    assert {r.doc_id for r in tiling.without_leaks(docs, items).collect()} == {2, 3}
+    clash = docs.selectExpr("doc_id", "text", "doc_id AS key", "text AS item_text", "1 AS _key", "2 AS id")
+    kept = tiling.without_leaks(clash, items)
+    assert kept.columns == clash.columns and {tuple(r)[2:] for r in kept.collect()} == {(2, "i0 i1 i2 i3 only five tokens i9", 1, 2), (3, None, 1, 2)}
+
+
+def plain_tiles(doc, item, shortest=5):
+    """Greedy string tiling by comparing every pair of places: words of the item that tiles cover."""
+    free_doc, free_item, covered = [True] * len(doc), [True] * len(item), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and free_item[i + n] and free_doc[j + n] and item[i + n] == doc[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < shortest:
+            return covered
+        covered += n
+        for k in range(n):
+            free_item[i + k] = free_doc[j + k] = False
+
+
+def test_leaks_are_those_of_plain_tiling(spark):
+    rng = np.random.default_rng(8)
+    phrase = "all of them share this phrase"
+    items = [f"{phrase} " + " ".join(f"i{k}x{rng.integers(9)}" for _ in range(int(rng.integers(5, 30)))) for k in range(12)]
+    docs = []
+    for k in range(60):
+        w = items[k % 12].split()
+        a, b = sorted(rng.integers(0, len(w) + 1, 2))
+        docs.append(" ".join([f"d{k}", *w[b:], phrase, *w[a:b], "end", *(w[:a] if k % 2 else [])]))
+    frame = lambda rows, name: spark.createDataFrame(list(enumerate(rows)), f"{name} long, text string")
+    found = {(r.doc_id, r.item_id): r.coverage for r in tiling.find_leaks(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    want = {}
+    for i, d in enumerate(docs):
+        for j, t in enumerate(items):
+            share = plain_tiles(d.split(), t.split()) / len(t.split())
+            if share >= tiling.COVERAGE:
+                want[i, j] = share
+    assert found.keys() == want.keys() and all(np.isclose(found[k], want[k]) for k in want)
 
 
 def test_factorization_machine_learns_a_pair():
