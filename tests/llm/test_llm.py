@@ -1,6 +1,7 @@
 """Operators for training data against brute force, and their defined cases."""
 
 import re
+import textwrap
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -269,6 +270,36 @@ def test_license_scan(docs):
     assert found[0] == found[3] == (None, "")
 
 
+def wrapped(text, width=72, mark=""):
+    return "\n\n".join("\n".join(mark + line for line in textwrap.wrap(p, width)) for p in text.split("\n\n"))
+
+
+GRANT, AS_IS = licenses.SENTENCES["mit-grant"][0], licenses.SENTENCES["mit-as-is"][0]
+MIT = f"MIT License\n\nCopyright (c) 2020 Some One\n\n{GRANT}\n\n{licenses.SENTENCES['mit-notice'][0]}\n\n{AS_IS} IN NO EVENT SHALL THE AUTHORS BE LIABLE."
+BSD = "{}\n\n1. {}\n\n2. {}".format(*(licenses.SENTENCES[f"bsd-{k}"][0] for k in ("grant", "source", "binary")))
+FREE = "This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation{2} either version {3} of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful."
+FULL = {
+    "MIT": MIT, "BSD-2-Clause": BSD, "BSD-3-Clause": BSD + "\n\n3. " + licenses.SENTENCES["bsd-endorse"][0], "ISC": "ISC License\n\n" + licenses.SENTENCES["isc-grant"][0],
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at',
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one.",
+    "GPL-2.0-or-later": FREE.format(";", "General Public License", ";", 2), "GPL-3.0-or-later": FREE.format(":", "General Public License", ",", 3),
+    "LGPL-2.1-or-later": FREE.replace("program", "library").format(";", "Lesser General Public License", ";", "2.1"),
+    "LGPL-3.0-or-later": FREE.format(":", "Lesser General Public License", ",", 3), "AGPL-3.0-or-later": FREE.format(":", "Affero General Public License", ",", 3),
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy it.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal", "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event.",
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_whole_licences_are_found_wrapped(spark, mark):
+    rows = [(name, wrapped(text, 72, mark)) for name, text in FULL.items()] + [("long", "word " * 50_000 + "\n\n" + wrapped(MIT, 40, mark))]
+    out = licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string").selectExpr("*", "1 AS _all", "'own' AS license", "2 AS ids"))
+    assert out.columns == ["doc_id", "text", "_all", "ids", "n_known", "sentence_ids", "license", "licenses"]
+    found = {r.doc_id: r.license for r in out.collect()}
+    assert found == {name: name for name in FULL} | {"long": "MIT"}
+
+
 def test_tiling_finds_reordered_passages(spark):
     item = " ".join(f"i{k}" for k in range(24))
     words = item.split()
@@ -332,6 +363,30 @@ def test_factorization_machine_learns_a_pair():
     assert ((score > 0.5) == (label == 1)).mean() > 0.99
 
 
+def test_score_is_that_of_all_pairs():
+    rng = np.random.default_rng(9)
+    m = toxicity.Machine(np.arange(8), 0.3, rng.standard_normal(8), rng.standard_normal((8, 3)))
+    docs = [np.flatnonzero(rng.random(8) < 0.5) for _ in range(50)] + [np.zeros(0, int)]
+    got = m.score(len(docs), np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.concatenate(docs))
+    for d, value in zip(docs, got):
+        z = 0.3 + sum(m.weights[i] for i in d) + sum(m.factors[i] @ m.factors[j] for i, j in combinations(d, 2))
+        assert np.isclose(value, 1 / (1 + np.exp(-z)))
+
+
+@pytest.mark.parametrize("rule", ["both", "either but not both"])
+def test_training_finds_a_pair_among_many_terms(spark, rule):
+    rng = np.random.default_rng(10)
+    has = rng.random((3000, 500)) < 0.3
+    label = has[:, 3] & has[:, 77] if rule == "both" else has[:, 3] ^ has[:, 77]
+    rows = [(i, " ".join(f"t{k}" for k in np.flatnonzero(h)), int(y), "own", 7) for i, (h, y) in enumerate(zip(has, label))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, score string, predicted int")
+    learned = toxicity.train(docs.where("doc_id < 2000"), docs.select("doc_id", "toxic"))
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, learned, threshold=0.5).collect()}
+    assert np.mean([found[i] == label[i] for i in range(2000, 3000)]) > 0.95
+    clean = toxicity.without_toxic(docs, learned, threshold=0.5)
+    assert clean.columns == docs.columns and {(r.score, r.predicted) for r in clean.collect()} == {("own", 7)}
+
+
 def test_toxicity_cases(docs, labels):
     for known in (labels, labels.where("doc_id < 0")):
         out = toxicity.toxicity(docs, toxicity.train(docs, known))
@@ -410,12 +465,69 @@ def test_sample_is_that_of_a_full_sort(spark, rows):
     assert [r.id for r in lowest(many, F.xxhash64("id"), rows).collect()] == want
 
 
+def test_jaccard_of_a_large_group_and_hot_passage(spark):
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(300)]
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(i, " ".join(w if rng.random() > 0.002 else f"r{rng.integers(1 << 40)}" for w in base)) for i in range(1500)]
+    rows += [(10_000 + i, passage + " " + " ".join(f"s{i}x{k}" for k in range(int(rng.integers(1, 40))))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    sets = {i: set(zip(*(t.split()[k:] for k in range(5)))) for i, t in rows}
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        x, y = root(a), root(b)
+        if x != y and 9 * min(len(sets[a]), len(sets[b])) >= 7 * max(len(sets[a]), len(sets[b])):
+            common = len(sets[a] & sets[b])
+            if 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                parent[max(x, y)] = min(x, y)
+    assert got == {i: root(i) for i in sets}
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(12)
+    prose = lambda n: " ".join(f"{w}{rng.integers(400)}" for w in rng.choice(["of", "the", "river", "stone", "walk"], n))
+    item = " ".join(f"b{k}" for k in range(40))
+    good = [prose(int(rng.integers(60, 150))) for _ in range(60)]
+    texts = [*good, good[0], good[1] + " more", "x " * 400, None, "", f"{prose(80)} {item}", "sludge vermin filth " * 30 + prose(60)]
+    rows = [(i, t, "en", "s", len(t or ""), "mine") for i, t in enumerate(texts)] + [(None, item, None, None, None, None), (0, good[0], "en", "s", 1, "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame([(i, int(i < 60), int(i == 66)) for i in range(67)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    given, seen = docs, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        given = stage(spark, given, folder).cache()
+        assert given.columns == docs.columns
+        seen[name] = {(r.doc_id, r.text) for r in given.collect()}
+        assert stage(spark, docs.limit(0), folder).count() == 0
+    every = set(zip([r[0] for r in rows], [r[1] for r in rows]))
+    learned = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    toxic = {(r.doc_id, r.text) for r in toxicity.toxicity(docs, learned).where("predicted = 1").collect()}
+    assert seen["toxicity"] == every - toxic
+    assert not {i for i, _ in seen["quality_rules"]} & {62, 63, 64}  # too repetitive or too short
+    assert 0 in {i for i, _ in seen["jaccard_join"]} and not {i for i, _ in seen["jaccard_join"]} & {60, 61}
+    assert not any(item in (t or "") for _, t in seen["decontamination"])
+    assert {i for i, _ in seen["decontamination"]} >= {i for i, _ in seen["jaccard_join"]} - {65, None}
+    out = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in out.collect()} == {i for i, _ in seen["decontamination"]}
+
+
 def test_empty_tables(spark, docs, labels):
     none, items = docs.limit(0), spark.createDataFrame([], "item_id long, text string")
     byte = public_tokenizers.path("byte_bpe_50k.json")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     for out in (
-        rules.quality_rules(none, labels), rules.keep_good(none, labels), hmm.hmm_scores(none, F.lit(False), iterations=1), warc.round_trip(pages),
+        rules.quality_rules(none, labels), rules.keep_good(none, labels), hmm.hmm_scores(none, F.lit(False), iterations=1), licenses.license_scan(none), warc.round_trip(pages),
         packing.pack_documents(none, byte), pfor.round_trip(none, byte), licenses.license_scan(none), tiling.find_leaks(none, items),
         toxicity.toxicity(none, toxicity.train(none, labels)), jaccard.jaccard_components(none), styletree.main_text(pages),
     ):
