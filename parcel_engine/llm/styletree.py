@@ -16,8 +16,10 @@ below ``IMPORTANCE`` is cut from the page, with its branch. Names do not lower a
 article, or most of the text of a page without one. Hidden elements are never read.
 
 Defined cases: null and empty html give an empty text; unclosed and stray tags are read as a
-browser would, roughly; an unclosed comment, script or style runs to the end; pages of a host that say
-the same count once; a null url or one without a host belongs to the host "".
+browser would, roughly; an unclosed comment, script or style runs to the end; nesting of any depth
+takes memory in proportion to the page; pages of a host that say the same count once; a null url or one
+without a host belongs to the host "". Null ids and repeated pages return one row each. Columns other
+than page_id, url and html are ignored and do not return.
 """
 
 from __future__ import annotations
@@ -91,7 +93,8 @@ class Node:
     chars: int = 0  #: of text in it that is neither hidden nor aside
     main: bool = False
     shift: float = 0.0  #: what markup adds to its importance
-    branch: tuple[Node, ...] = ()
+    near: Node | None = None  #: itself if it is a block or marked, else the next such node above
+    clear: bool = True  #: neither it nor such a node above is marked
     children: list[str] = field(default_factory=list)
 
 
@@ -100,6 +103,8 @@ class Page:
     #: (the node it stands in, text)
     blocks: list[tuple[Node, str]] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
+    #: all nodes, those above first
+    opened: list[Node] = field(default_factory=list)
     has_main: bool = False
 
 
@@ -131,20 +136,23 @@ def _kind(tag: str, attributes: str) -> tuple[str, bool, float, bool]:
     return classes, hidden, min(marked, named), by_name
 
 
-def _settle(page: Page, nodes: list[Node]) -> None:
+def _settle(page: Page) -> None:
     """Give each node its shift, now that it is known what it holds."""
     total = 0
     for node, text in page.blocks:
         if not node.hidden and not node.aside:
             total += len(text)
-            for n in node.branch:
-                n.chars += len(text)
-    has_article = any(n.holds for n in nodes)
-    for n in nodes:
+            node.near.chars += len(text)
+    for n in reversed(page.opened):
+        if n.near is n and n.above is not None:
+            n.above.near.chars += n.chars
+    has_article = any(n.holds for n in page.opened)
+    for n in page.opened[1:]:
         if n.marked and n.by_name and (n.holds or not has_article and 2 * n.chars > total):
             n.marked = 0.0
         n.main = not n.marked and not n.hidden and (n.above.main or n.holds and n.tag in ("article", "main"))
         n.shift = n.marked + INSIDE * n.main
+        n.clear = n.above.near.clear and not n.marked
         page.has_main |= n.main
 
 
@@ -152,8 +160,8 @@ def parse(html: str) -> Page:
     """The blocks of text of a page in page order, with where they stand."""
     page = Page()
     stack = [Node("", 0)]
-    stack[0].branch = (stack[0],)
-    opened: list[Node] = []
+    stack[0].near = stack[0]
+    page.opened.append(stack[0])
     known: dict[tuple[int, str, str], tuple[int, bool, float, bool]] = {}
     pieces: list[str] = []
     at, size = 0, len(html)
@@ -235,9 +243,9 @@ def parse(html: str) -> Page:
         node = Node(tag, path, above, hidden or above.hidden, marked, by_name)
         node.outcast = above.outcast or marked == MARKED
         node.aside = above.aside or marked < 0 and not by_name
-        node.branch = (*above.branch, node) if tag in BLOCK or marked else above.branch
+        node.near = node if tag in BLOCK or marked else above.near
         stack.append(node)
-        opened.append(node)
+        page.opened.append(node)
         # an article among comments or in a side bar is not the page's
         if tag in ("article", "main") and not node.hidden and not node.aside and (tag == "main" or not node.outcast):
             for n in stack:
@@ -245,22 +253,24 @@ def parse(html: str) -> Page:
         if tag in BLOCK and not node.hidden:
             page.nodes.append(node)
     flush()
-    _settle(page, opened)
+    _settle(page)
     return page
 
 
 def extract(page: Page, importance: dict[int, float]) -> str:
     """The page's text without branches of no importance."""
-    seen: dict[Node, bool] = {}
+    stays: dict[Node, bool] = {}  # no node that is near another's text, or above it, falls below the limit
+    for n in page.opened:
+        if n.near is n:
+            own = importance.get(n.path, NEUTRAL) + n.shift >= IMPORTANCE
+            stays[n] = own and (n.above is None or stays[n.above.near])
 
-    def stays(node: Node) -> bool:
-        if node not in seen:
-            below = node.branch[-1]
-            own = importance.get(below.path, NEUTRAL) + (0.0 if node.main or not page.has_main else OUTSIDE) + below.shift >= IMPORTANCE
-            seen[node] = own and all(importance.get(n.path, NEUTRAL) + n.shift >= IMPORTANCE for n in node.branch)
-        return seen[node]
+    def kept(node: Node) -> bool:
+        below = node.near
+        outside = 0.0 if node.main or not page.has_main else OUTSIDE
+        return stays[below] and importance.get(below.path, NEUTRAL) + outside + below.shift >= IMPORTANCE
 
-    return " ".join(text for node, text in page.blocks if not node.hidden and stays(node))
+    return " ".join(text for node, text in page.blocks if not node.hidden and kept(node))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -274,9 +284,9 @@ def _features(page: Page) -> tuple[int, np.ndarray]:
     for node, text in page.blocks:
         if node.hidden:
             continue
-        found.add((node.branch[-1].path, 1, xxhash.xxh64_intdigest(text) - (1 << 63)))
-        if node.main if page.has_main else not any(n.marked for n in node.branch):
-            digest.update(f"{node.branch[-1].path} {len(text)} {text}")
+        found.add((node.near.path, 1, xxhash.xxh64_intdigest(text) - (1 << 63)))
+        if node.main if page.has_main else node.near.clear:
+            digest.update(f"{node.near.path} {len(text)} {text}")
     return digest.intdigest() - (1 << 63), np.array(sorted(found), "<i8").reshape(-1, 3)
 
 

@@ -2,6 +2,7 @@
 
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -458,6 +459,14 @@ def test_a_name_on_a_wrapper_drops_no_article(spark, names):
     assert set(extracted(spark, [p.format(names) for p in pages]).values()) == {"All of the text"}
 
 
+def test_deep_nesting_takes_little_memory():
+    tracemalloc.start()
+    page = styletree.parse("<div>" * 15_000 + "deep text")
+    styletree._features(page)
+    assert styletree.extract(page, {}) == "deep text" and tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+
+
 @pytest.mark.parametrize("rows", [0, 7, 300, 5000])
 def test_sample_is_that_of_a_full_sort(spark, rows):
     many = spark.range(4000, numPartitions=8)
