@@ -27,6 +27,8 @@ COMPACT_BYTES = 256 * 1024 * 1024
 REWRITTEN = "_rewritten-"
 #: Property of a raw table that has an order index: the index table and its number of buckets.
 INDEX = "parcel.order_index"
+#: Property of a table that has key filters: their table, log2 of their bits, the key columns.
+SKETCH = "parcel.key_sketch"
 
 # Microsecond timestamps, unlike the default encoding, carry the statistics that let scans skip
 # row groups. The setting belongs to the session, so writers in threads take turns.
@@ -83,27 +85,33 @@ def properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _indexed(spark: SparkSession, table: str):
-    from parcel_engine.sinks.order_index import OrderIndex  # it writes through this module
+def _companions(spark: SparkSession, table: str) -> list:
+    """The order index and the key filters of a table, where it has them: they learn rows first."""
+    known = properties(spark, table)
+    if INDEX not in known and SKETCH not in known:
+        return []
+    from parcel_engine.sinks.key_sketch import KeySketch  # both write through this module
+    from parcel_engine.sinks.order_index import OrderIndex
 
-    return OrderIndex.of(spark, table)
+    return [c for c in (OrderIndex.of(spark, table), KeySketch.of(spark, table)) if c is not None]
 
 
 def append(df: DataFrame, table: str, measures: Sequence[Column] = ()) -> dict:
     """Add rows; an empty batch adds nothing.
 
-    Where the table has an order index, the batch is computed once, into a staged table, and
-    enters the index first.
+    Where the table has an order index or key filters, the batch is computed once, into a staged
+    table, and enters them first.
     """
     spark = df.sparkSession
-    index = _indexed(spark, table)
+    companions = _companions(spark, table)
     if is_partitioned(spark, table):
         df = by_day(df)
-    if index is None:
+    if not companions:
         return insert(df, table, measures=measures)
     with staging(spark) as stage:
         batch = stage.keep(df)
-        index.extend(batch)
+        for companion in companions:
+            companion.extend(batch)
         return insert(by_day(batch), table, measures=measures)
 
 
@@ -162,10 +170,10 @@ def replace_days(
     A failure before the switch changes nothing, and one among the switches leaves each day with
     either all its old or all its new rows. What a failed run has left in the table's folder,
     ``sweep`` removes. ``same_rows`` says that the rows are those the table has, so an order index
-    learns nothing from them.
+    or key filters learn nothing from them.
     """
     spark = df.sparkSession
-    index = None if same_rows else _indexed(spark, table)
+    companions = [] if same_rows else _companions(spark, table)
     present = partitions(spark, table)
     fresh = f"{table_folder(spark, table)}/{REWRITTEN}{uuid4().hex}"
     written = Observation()
@@ -178,8 +186,8 @@ def replace_days(
         found = row_counts(rewritten)
         if None in found or sum(found.values()) != written.get["rows"]:
             raise IncompleteWrite(f"{fresh} holds {sum(found.values())} rows, not {written.get['rows']}")
-        if index is not None:
-            index.extend(rewritten)
+        for companion in companions:
+            companion.extend(rewritten)
         before = _day_folders(spark, table, found.keys() & present)
         added = " ".join(f"PARTITION ({PARTITION} = DATE'{d}') LOCATION '{fresh}/{PARTITION}={d}'" for d in sorted(found.keys() - present))
         if added:

@@ -10,12 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcel_engine.session import staging
+from parcel_engine.sinks.key_sketch import KeySketch
 from parcel_engine.sinks.tables import (
     PARTITION,
+    SKETCH,
     append,
     drop_partitions,
     ensure_table,
     partitions,
+    properties,
     replace_days,
     row_counts,
 )
@@ -49,7 +52,7 @@ def upsert(
 
     The source is computed once, into a staged table. Of the target, only keys and days
     are read to find the matches, and where the caller knows the ``target_days`` that may
-    hold one, only of these; only days that hold a match are rewritten, and rows
+    hold one, or key filters tell, only of these; only days that hold a match are rewritten, and rows
     for other days are appended. A day left without rows is dropped. Into an empty table
     a source that needs no check is written directly.
 
@@ -70,6 +73,8 @@ def upsert(
         if check_unique:
             _require_unique(staged, keys)
         target = spark.table(table)
+        if target_days is None:
+            target_days = _days_of_keys(staged, table, keys)
         if target_days is not None:
             target = date_slice(target, target_days)
         if order_by is not None:
@@ -86,6 +91,14 @@ def upsert(
     return UpsertResult(sum(incoming.values()), matched | set(incoming))
 
 
+def _days_of_keys(source: DataFrame, table: str, keys: list[str]) -> set[date] | None:
+    """Days that may hold a match, by the table's filters of these keys; None if it has none."""
+    if SKETCH not in properties(source.sparkSession, table):
+        return None
+    sketch = KeySketch.of(source.sparkSession, table)
+    return sketch.days_of(source.select(*keys)) if set(sketch.keys) == set(keys) else None
+
+
 def _with_days(source: DataFrame) -> DataFrame:
     """The source; writing it fails on a row without a day."""
     missing = F.raise_error(F.lit(f"{PARTITION} must not be null")).cast("date")

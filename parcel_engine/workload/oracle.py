@@ -118,6 +118,12 @@ _UPSERTED = _with(
     "WHERE event_id NOT IN (SELECT event_id FROM late)",
 )
 
+_MOVED = _with(
+    _facts("raw", "facts"),
+    select=f"""SELECT * REPLACE (CASE WHEN event_date IN ({MOVED_DAYS})
+        THEN event_date + {q.MOVED_BY} ELSE event_date END AS event_date) FROM facts""",
+)
+
 _FIRST = f"event_timestamp <= {WATERMARK} AND notes IS NULL"
 _TWO_RUNS = f"""first_mark AS (SELECT max(event_timestamp) AS mark FROM mapped WHERE {_FIRST}),
 ingested AS (
@@ -197,11 +203,8 @@ ORACLE: dict[str, str] = {
     ),
     "upsert_facts": _UPSERTED,
     "upsert_idempotent": _UPSERTED,
-    "upsert_moved_partition": _with(
-        _facts("raw", "facts"),
-        select=f"""SELECT * REPLACE (CASE WHEN event_date IN ({MOVED_DAYS})
-            THEN event_date + {q.MOVED_BY} ELSE event_date END AS event_date) FROM facts""",
-    ),
+    "upsert_moved_partition": _MOVED,
+    "upsert_by_key_sketch": _MOVED,
     "upsert_composite_key": _with(
         _facts("raw", "tight", q.TIGHT_SLA),
         _facts("raw", "facts"),

@@ -39,6 +39,7 @@ from parcel_engine.plans.reconcile import reconcile
 from parcel_engine.plans.transform import transform
 from parcel_engine.schemas import FACT, KPI, RAW, SOURCE, WATERMARK, conform
 from parcel_engine.session import session_conf, staging
+from parcel_engine.sinks.key_sketch import KeySketch
 from parcel_engine.sinks.order_index import OrderIndex
 from parcel_engine.sinks.quarantine import accept
 from parcel_engine.sinks.tables import (
@@ -450,6 +451,19 @@ def order_index(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+@query("upsert_by_key_sketch")
+def upsert_by_key_sketch(spark, sf_dir):
+    """Facts that move to other days; filters of the keys say which days to search."""
+    table = fresh_table(spark, "sketched")
+    upsert(conform(_facts(spark, sf_dir), FACT), table, ["event_id"])
+    KeySketch.build(spark, table, ["event_id"], bits=16)
+    moved = date_slice(_facts(spark, sf_dir), MOVED).withColumn(
+        "event_date", F.date_add("event_date", MOVED_BY)
+    )
+    upsert(conform(moved, FACT), table, ["event_id"])
+    return spark.table(table).select(*FACT.fieldNames())
+
+
 @query("kpi_signed_deltas")
 def kpi_signed_deltas(spark, sf_dir):
     """KPIs from the histogram after three upserts: first load, late facts, facts that move."""

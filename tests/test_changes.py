@@ -15,9 +15,12 @@ from parcel_engine.plans.reconcile import reconcile
 from parcel_engine.plans.transform import transform
 from parcel_engine.schemas import FACT, KPI, RAW, SOURCE, conform
 from parcel_engine.session import staging
+from parcel_engine.sinks import upsert as module
+from parcel_engine.sinks.key_sketch import KeySketch
 from parcel_engine.sinks.order_index import OrderIndex
 from parcel_engine.sinks.quarantine import accept
 from parcel_engine.sinks.tables import append, compact_partitions, ensure_table, overwrite_partitions
+from parcel_engine.sinks.upsert import upsert
 from parcel_engine.sources.cuts import cut_predicates, quantile_cuts
 
 D13, D14, D15 = date(2024, 1, 13), date(2024, 1, 14), date(2024, 1, 15)
@@ -72,6 +75,50 @@ class TestOrderIndex:
         assert state(index.days_of(keys)) == [(D15,)] and state(index.orders_of(keys)) == []
 
 
+class TestKeySketch:
+    ROW = "event_id string, part string, event_date date, note string"
+
+    def frame(self, spark, rows):
+        return spark.createDataFrame(rows, self.ROW)
+
+    @pytest.fixture
+    def target(self, spark, database):
+        rows = [(f"{d}-{i}", "p", date(2024, 1, d), "old") for d in range(1, 11) for i in range(50)] + [(None, "p", D13, "null")]
+        table = f"{database}.t"
+        upsert(self.frame(spark, rows), table, ["event_id"])
+        return table
+
+    def test_days_of_keys(self, spark, target):
+        sketch = KeySketch.build(spark, target, ["event_id"])
+        assert KeySketch.of(spark, target) == sketch
+        keys = self.frame(spark, [("3-7", "p", D13, ""), ("8-0", "p", D13, ""), (None, "p", D13, ""), ("new", "p", D13, "")])
+        assert sketch.days_of(keys) == {date(2024, 1, 3), date(2024, 1, 8)}
+        append(self.frame(spark, [("new", "p", D14, "")]), target)
+        assert sketch.days_of(keys) == {date(2024, 1, 3), date(2024, 1, 8), D14}
+        assert sketch.days_of(keys.limit(0)) == set()
+
+    @pytest.mark.parametrize("bits", [6, 20])
+    def test_upserts_are_the_same(self, spark, target, bits, monkeypatch):
+        sketch = KeySketch.build(spark, target, ["event_id"], bits)
+        seen = []
+        real = module._match_days
+        monkeypatch.setattr(module, "_match_days", lambda s, t, k, i: seen.append(t) or real(s, t, k, i))
+        source = [("3-7", "p", date(2024, 1, 3), "new"), ("8-0", "p", D14, "moved"), ("x", "p", D14, "first"), (None, "p", D14, "null")]
+        assert upsert(self.frame(spark, source), target, ["event_id"]).dates == {date(2024, 1, 3), date(2024, 1, 8), D14}
+        found = {r.event_id: (r.event_date, r.note) for r in spark.table(target).filter("note <> 'old' and event_id is not null").collect()}
+        assert found == {r[0]: r[2:] for r in source[:3]}
+        assert spark.table(target).count() == 503
+        # the rows that moved are found on their new day
+        upsert(self.frame(spark, [("8-0", "p", D15, "again")]), target, ["event_id"])
+        assert spark.table(target).filter("event_id = '8-0'").collect()[0].event_date == D15
+        if bits == 20:
+            read = {f.split("event_date=")[1][:10] for f in seen[0].inputFiles()}
+            assert read == {"2024-01-03", "2024-01-08"}
+        # filters of other keys are not asked
+        upsert(self.frame(spark, [("1-1", "p", D15, "by part")]), target, ["event_id", "part"])
+        assert spark.table(target).filter("event_id = '1-1'").collect()[0].event_date == D15
+
+
 class TestDeltas:
     def facts(self, spark, *changed, sla=48.0):
         rows = [raw_row(*e) for e in EVENTS] + [raw_row(*c) for c in changed]
@@ -102,8 +149,6 @@ class TestDeltas:
 
     @pytest.mark.parametrize("lost", ["facts", "settling"])
     def test_a_run_that_stops_in_between_is_made_up_for(self, spark, database, monkeypatch, lost):
-        from parcel_engine.sinks import upsert as module
-
         facts, histogram = f"{database}.facts", f"{database}.histogram"
         deltas.upsert_counted(self.facts(spark, sla=12.0), facts, histogram)
 
