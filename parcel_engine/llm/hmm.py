@@ -1,6 +1,6 @@
 """A hidden Markov language model in which every training word has emissions of its own.
 
-Texts are encoded once: each Arrow batch becomes a *part*, a row with the sorted hashes of its words
+Texts are encoded once: each Arrow batch of some thousand becomes a *part*, a row with the sorted hashes of its words
 and the texts as numbers of these. Baum-Welch then runs over all training texts. In the first
 ``ITERATIONS`` rounds emissions are tied: the ``OWN`` most frequent words have their own, all others
 share those of ``SHARED`` hash classes, so a round adds up a table of fixed size. In the last round no
@@ -45,7 +45,8 @@ ITERATIONS = 5
 STRIP = 250_000
 #: log2 of the slices of hashes by which words are added up, at least; they grow with the parts.
 LEAST_SLICES = 6
-#: Rows of an Arrow batch that hold parts.
+#: Texts of a part, and rows of an Arrow batch that hold parts.
+PART_ROWS = 4000
 PARTS_BATCH = 4
 #: Hash of a text's end among the words.
 END_HASH = U64(0)
@@ -222,10 +223,9 @@ def _encoded(source: DataFrame) -> DataFrame:
     def run(batches):
         where = TaskContext.get().partitionId() << 32
         for k, batch in enumerate(b for b in batches if b.num_rows):
-            chunks = list(words(batch.column(2), lower=True))
-            hashes = np.concatenate([c.hashes() for c in chunks])
-            size = np.concatenate([np.diff(c.at) for c in chunks])
-            vocab, numbers = np.unique(hashes, return_inverse=True)
+            found = [(c.hashes(), np.diff(c.at)) for c in words(batch.column(2), lower=True)]
+            size = np.concatenate([n for _, n in found])
+            vocab, numbers = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
             ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -248,7 +248,7 @@ class Part:
     @classmethod
     def read(cls, row: dict) -> Part:
         size, vocab = unpacked(row["sizes"], np.uint32).astype(np.int64), unpacked_hashes(row["vocab"])
-        numbers = unpacked(row["numbers"], np.uint32).astype(np.int64)
+        numbers = unpacked(row["numbers"], np.int32)
         at = np.concatenate([[0], np.cumsum(size)])
         ends = np.insert(numbers, at[1:], len(vocab))
         at = at + np.arange(len(at))
@@ -394,7 +394,7 @@ def hmm_scores(docs: DataFrame, held_out, *, id_column: str = "doc_id", text_col
     counts = staged(_word_counts(training.select("text")), "word-counts")
     vocab = vocabulary(counts, training.count())
     discard(counts)
-    encoded = staged(_encoded(source), "word-numbers")
+    encoded = staged(_encoded(source), "word-numbers", PART_ROWS)
     model = first_guess(vocab.prior, states)
     for _ in range(iterations):
         model = _iteration(encoded, model, vocab)
