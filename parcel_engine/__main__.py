@@ -18,11 +18,11 @@ from parcel_engine.plans.daily import run_dates
 from parcel_engine.plans.ingest import ingest, touched_dates
 from parcel_engine.plans.transform import transform
 from parcel_engine.settings import Settings, load_settings
-from parcel_engine.sinks.tables import compact_partitions
+from parcel_engine.sinks.tables import compact_partitions, sweep
 from parcel_engine.sources.jdbc import jdbc_partitioned_scan
 from parcel_engine.sources.tables import as_date
 
-JOBS = ("ingest", "transform", "aggregate", "run", "compact")
+JOBS = ("ingest", "transform", "aggregate", "run", "compact", "sweep")
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -33,9 +33,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--config", help="settings file")
     parser.add_argument("--scope", choices=("history", "date"), default="history")
     parser.add_argument("--jdbc-url", default=os.environ.get("JDBC_URL"))
-    parser.add_argument("--table", help="table to compact; the facts if not given")
+    parser.add_argument("--table", help="table to compact or sweep; the facts if not given")
     args = parser.parse_args(argv)
-    if not args.date and args.job not in ("ingest", "run"):
+    if not args.date and args.job not in ("ingest", "run", "sweep"):
         parser.error(f"{args.job} needs --date")
     return args
 
@@ -70,7 +70,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace, settings: Settings):
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Run one job; returns the number of rows it wrote."""
+    """Run one job; returns the number of rows it wrote, or of folders it removed."""
     settings = load_settings(args.config)
     tables = settings.tables
     rules = dict(
@@ -86,6 +86,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         return aggregate(spark, tables.facts, tables.kpis, args.date)
     if args.job == "compact":
         return compact_partitions(spark, args.table or tables.facts, args.date)
+    if args.job == "sweep":
+        return len(sweep(spark, args.table or tables.facts))
     added = _ingest(spark, args, settings)
     dates = touched_dates(spark, tables.raw, added) | {as_date(d) for d in args.date}
     return run_dates(spark, tables, dates, run_ts=added.run_ts, **rules).facts
@@ -95,7 +97,7 @@ def main() -> None:
     args = parse()
     spark = SparkSession.builder.appName(f"parcel-{args.job}").getOrCreate()
     try:
-        print(f"{args.job}: {run(spark, args)} rows")
+        print(f"{args.job}: {run(spark, args)} {'folders' if args.job == 'sweep' else 'rows'}")
     finally:
         spark.stop()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -47,9 +48,18 @@ def batch_clock(run_ts: datetime | None) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, else the warehouse.
+
+    A warehouse in local files serves in local mode alone: on a cluster it would be a folder of the
+    driver's own machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        own = root.startswith(("file:", "/"))
+        if own and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    return root.rstrip("/")
 
 
 class Stage:

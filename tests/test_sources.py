@@ -147,6 +147,7 @@ class TestSettings:
     def test_arguments(self):
         args = parse(["run", "--date", "2024-01-15", "--date", "2024-01-16"])
         assert args.job == "run" and args.date == ["2024-01-15", "2024-01-16"]
+        assert parse(["sweep"]).date == []
         with pytest.raises(SystemExit):
             parse(["drop", "--date", "2024-01-15"])
 
@@ -163,3 +164,10 @@ class TestSharedFolder:
     def test_cluster_without_one(self):
         session = self.conf({"spark.sql.warehouse.dir": "hdfs://x/warehouse"}, "yarn")
         assert shared_root(session) == "hdfs://x/warehouse"
+
+    def test_local_files_serve_local_mode_alone(self):
+        for folder in ("file:/tmp/warehouse", "/tmp/warehouse"):
+            assert shared_root(self.conf({"spark.sql.warehouse.dir": folder}, "local[4]")) == folder
+            for master in ("yarn", "spark://x:7077", "local-cluster[3,2,1024]"):
+                with pytest.raises(ValueError, match="checkpoint"):
+                    shared_root(self.conf({"spark.sql.warehouse.dir": folder}, master))
