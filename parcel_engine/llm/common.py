@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcel_engine.session import session_conf
+from parcel_engine.session import session_conf, shared_root
 from parcel_engine.sinks.tables import remove_folder
 
 U64 = np.uint64
@@ -37,8 +37,8 @@ _powers: dict[int, np.ndarray] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """A folder all executors reach: ``spark.checkpoint.dir``, else one below the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_llm_staged"
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return known or f"{shared_root(spark)}/_llm_staged"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
