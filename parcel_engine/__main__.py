@@ -18,7 +18,7 @@ from parcel_engine.plans.daily import run_dates
 from parcel_engine.plans.ingest import ingest, touched_dates
 from parcel_engine.plans.transform import transform
 from parcel_engine.settings import Settings, load_settings
-from parcel_engine.sinks.tables import compact_partitions, sweep
+from parcel_engine.sinks.tables import compact_partitions, days_of_small_files, sweep
 from parcel_engine.sources.jdbc import jdbc_partitioned_scan
 from parcel_engine.sources.tables import as_date
 
@@ -28,14 +28,14 @@ JOBS = ("ingest", "transform", "aggregate", "run", "compact", "sweep")
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="parcel_engine")
     parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--date", default=[], action="append", help="YYYY-MM-DD, repeatable")
+    parser.add_argument("--date", default=[], action="append", help="YYYY-MM-DD, repeatable; compact takes the days of small files if none is given")
     parser.add_argument("--since", help="read source events after this day, YYYY-MM-DD")
     parser.add_argument("--config", help="settings file")
     parser.add_argument("--scope", choices=("history", "date"), default="history")
     parser.add_argument("--jdbc-url", default=os.environ.get("JDBC_URL"))
     parser.add_argument("--table", help="table to compact or sweep; the facts if not given")
     args = parser.parse_args(argv)
-    if not args.date and args.job not in ("ingest", "run", "sweep"):
+    if not args.date and args.job not in ("ingest", "run", "compact", "sweep"):
         parser.error(f"{args.job} needs --date")
     return args
 
@@ -85,7 +85,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job == "aggregate":
         return aggregate(spark, tables.facts, tables.kpis, args.date)
     if args.job == "compact":
-        return compact_partitions(spark, args.table or tables.facts, args.date)
+        table = args.table or tables.facts
+        return compact_partitions(spark, table, args.date or days_of_small_files(spark, table))
     if args.job == "sweep":
         return len(sweep(spark, args.table or tables.facts))
     added = _ingest(spark, args, settings)

@@ -159,7 +159,11 @@ class IncompleteWrite(RuntimeError):
 
 
 def replace_days(
-    df: DataFrame, table: str, emptied: Iterable[date] = (), same_rows: bool = False
+    df: DataFrame,
+    table: str,
+    emptied: Iterable[date] = (),
+    same_rows: bool = False,
+    order_by: Sequence[str] = (),
 ) -> int:
     """Replace exactly the days present in ``df``; drop those ``emptied``; returns the rows.
 
@@ -170,14 +174,18 @@ def replace_days(
     A failure before the switch changes nothing, and one among the switches leaves each day with
     either all its old or all its new rows. What a failed run has left in the table's folder,
     ``sweep`` removes. ``same_rows`` says that the rows are those the table has, so an order index
-    or key filters learn nothing from them.
+    or key filters learn nothing from them. Within its files a day is sorted by ``order_by``, so that
+    scans skip row groups by these columns.
     """
     spark = df.sparkSession
     companions = [] if same_rows else _companions(spark, table)
     present = partitions(spark, table)
     fresh = f"{table_folder(spark, table)}/{REWRITTEN}{uuid4().hex}"
     written = Observation()
-    rows = by_day(df.select(*spark.table(table).columns)).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows = by_day(df.select(*spark.table(table).columns))
+    if order_by:
+        rows = rows.sortWithinPartitions(PARTITION, *order_by)
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     with _WRITING, session_conf(spark, _WRITE_SETTINGS):
         rows.write.partitionBy(PARTITION).parquet(fresh)
     if written.get["rows"]:
@@ -228,11 +236,36 @@ def compact_partitions(
     table: str,
     dates: Iterable[date | str],
     file_bytes: int = COMPACT_BYTES,
+    order_by: Sequence[str] = (),
 ) -> int:
     """Rewrite the days with files of about ``file_bytes``; the rows stay the same."""
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{file_bytes}b"}
     with session_conf(spark, settings):
-        return replace_days(date_slice(spark.table(table), dates), table, same_rows=True)
+        days = date_slice(spark.table(table), dates)
+        return replace_days(days, table, same_rows=True, order_by=order_by)
+
+
+def days_of_small_files(
+    spark: SparkSession, table: str, file_bytes: int = COMPACT_BYTES, least: int = 2
+) -> set[date]:
+    """Days with at least ``least`` files below half of ``file_bytes``, which fewer could hold.
+
+    Sizes come with the scan of no columns; per file one row is left after the first step.
+    """
+    files = spark.table(table).select(PARTITION, "_metadata.file_path", "_metadata.file_size").distinct()
+    small = files.filter(F.col("file_size") < file_bytes // 2)
+    found = small.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    return {r[PARTITION] for r in found.collect()}
+
+
+def compact_small_files(
+    spark: SparkSession, table: str, file_bytes: int = COMPACT_BYTES, order_by: Sequence[str] = ()
+) -> set[date]:
+    """Compact the days that have small files and leave all others as they are; returns the days."""
+    days = days_of_small_files(spark, table, file_bytes)
+    if days:
+        compact_partitions(spark, table, days, file_bytes, order_by)
+    return days
 
 
 def row_counts(df: DataFrame) -> dict[date, int]:

@@ -198,6 +198,10 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT * FROM after WHERE event_date >= DATE '{q.CHANGE_DAY}'",
     ),
     "compact_partitions": _ALL_RAW,
+    "compact_small_files": _with(
+        select=f"""SELECT {RAW_COLUMNS}, event_date = DATE '{q.DAY}' AS rewritten FROM raw
+          UNION ALL SELECT {RAW_COLUMNS}, TRUE FROM raw WHERE event_date = DATE '{q.DAY}'""",
+    ),
     "empty_batch_noop": _with(
         select="SELECT count(*) AS raw_rows, CAST(1 AS BIGINT) AS runs FROM mapped"
     ),

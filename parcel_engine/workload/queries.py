@@ -45,6 +45,7 @@ from parcel_engine.sinks.quarantine import accept
 from parcel_engine.sinks.tables import (
     append,
     compact_partitions,
+    compact_small_files,
     ensure_table,
     overwrite_partitions,
     partitions,
@@ -257,6 +258,20 @@ def compacted_partitions(spark, sf_dir):
     return spark.table(table).select(*RAW.fieldNames())
 
 
+@query("compact_small_files")
+def compacted_small_files(spark, sf_dir):
+    """Every day but one is compacted first, so only that one has small files left to rewrite."""
+    table = fresh_table(spark, "small_files")
+    ensure_table(spark, table, RAW)
+    raw = conform(raw_events(spark, sf_dir), RAW)
+    append(raw.filter(F.col("event_timestamp") <= F.lit(WATERMARK_TS)), table)
+    append(incremental_scan(raw, WATERMARK_TS - timedelta(days=400)).filter(F.col("event_timestamp") > F.lit(WATERMARK_TS)), table)
+    compact_small_files(spark, table, order_by=["courier_id", "event_timestamp"])
+    append(date_slice(raw, DAY), table)
+    done = compact_small_files(spark, table, order_by=["courier_id", "event_timestamp"])
+    return spark.table(table).select(*RAW.fieldNames(), F.col("event_date").isin(sorted(done)).alias("rewritten"))
+
+
 @query("empty_batch_noop")
 def empty_batch(spark, sf_dir):
     raw, log = fresh_table(spark, "noop_raw"), fresh_table(spark, "noop_log")

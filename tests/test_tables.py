@@ -92,6 +92,21 @@ class TestTables:
         after = spark.table(target).filter(F.col("event_date") == D1).inputFiles()
         assert len(after) == 1 < n_before
 
+    def test_only_days_of_small_files_are_compacted(self, spark, target):
+        for i in range(3):
+            tables.append(frame(spark, [(f"n{i}", D1, i, "x")]), target)
+        before = content(spark, target)
+        files = set(spark.table(target).filter(F.col("event_date") != D1).inputFiles())
+        assert tables.days_of_small_files(spark, target) == {D1}
+        assert tables.days_of_small_files(spark, target, file_bytes=10) == set()
+        assert tables.compact_small_files(spark, target, order_by=["note", "event_id"]) == {D1}
+        assert content(spark, target) == before
+        after = set(spark.table(target).inputFiles())
+        assert files < after and len(after) == len(files) + 1
+        stored = [r.event_id for r in spark.read.parquet(*(after - files)).collect()]
+        assert stored == ["a", "b", "n0", "n1", "n2"]
+        assert tables.compact_small_files(spark, target) == set()
+
     def test_conform(self, spark):
         df = frame(spark, [("a", D1, 1, "x")])
         with pytest.raises(ValueError, match="order_id"):
