@@ -21,7 +21,7 @@ import numpy as np
 REMEMBERED = 400_000
 
 #: Texts that are encoded together.
-TEXTS = 2000
+TEXTS = 500
 
 _LINES = re.compile(r"\S+(?:\n\S+)+")
 #: Letters, then ASCII punctuation but for the apostrophe, which contractions start with.
