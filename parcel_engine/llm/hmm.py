@@ -42,7 +42,7 @@ END = OWN + SHARED
 CLASSES = END + 1
 ITERATIONS = 5
 #: Tokens that run side by side.
-STRIP = 250_000
+STRIP = 500_000
 #: log2 of the slices of hashes by which words are added up, at least; they grow with the parts.
 LEAST_SLICES = 6
 #: Texts of a part, and rows of an Arrow batch that hold parts.
@@ -217,7 +217,11 @@ def unpacked_hashes(blob: bytes) -> np.ndarray:
 
 
 def _encoded(source: DataFrame) -> DataFrame:
-    """A row for each batch: its words, and its texts as numbers of words, the end as their number."""
+    """A row for each batch: its words, and its texts as numbers of words.
+
+    Words are sorted by hash, which leaves little of each to store; the texts have their ranks by use in
+    the batch, which compress well. ``uses`` leads from the one to the other.
+    """
     kind = source.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -226,17 +230,21 @@ def _encoded(source: DataFrame) -> DataFrame:
             found = [(c.hashes(), np.diff(c.at)) for c in words(batch.column(2), lower=True)]
             size = np.concatenate([n for _, n in found])
             vocab, numbers = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+            uses = np.bincount(numbers, minlength=len(vocab))
+            rank = np.empty(len(vocab), np.uint32)
+            rank[np.argsort(-uses, kind="stable")] = np.arange(len(vocab))
             ids = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([where + k]), ids, pa.array([packed(batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8))], pa.binary()),
                     pa.array([packed(size.astype(np.uint32))], pa.binary()),
-                    pa.array([packed_hashes(vocab)], pa.binary()), pa.array([packed(numbers.astype(np.uint32))], pa.binary()),
+                    pa.array([packed_hashes(vocab)], pa.binary()), pa.array([packed(uses.astype(np.uint32))], pa.binary()),
+                    pa.array([packed(rank[numbers])], pa.binary()),
                 ],
-                ["part", "ids", "held_out", "sizes", "vocab", "numbers"],
+                ["part", "ids", "held_out", "sizes", "vocab", "uses", "ranks"],
             )
 
-    return source.mapInArrow(run, f"part long, ids array<{kind}>, held_out binary, sizes binary, vocab binary, numbers binary")
+    return source.mapInArrow(run, f"part long, ids array<{kind}>, held_out binary, sizes binary, vocab binary, uses binary, ranks binary")
 
 
 @dataclass
@@ -248,7 +256,8 @@ class Part:
     @classmethod
     def read(cls, row: dict) -> Part:
         size, vocab = unpacked(row["sizes"], np.uint32).astype(np.int64), unpacked_hashes(row["vocab"])
-        numbers = unpacked(row["numbers"], np.int32)
+        by_rank = np.argsort(-unpacked(row["uses"], np.uint32).astype(np.int64), kind="stable").astype(np.int32)
+        numbers = by_rank[unpacked(row["ranks"], np.uint32)]
         at = np.concatenate([[0], np.cumsum(size)])
         ends = np.insert(numbers, at[1:], len(vocab))
         at = at + np.arange(len(at))
@@ -273,7 +282,7 @@ def _rows(batches) -> Iterator[dict]:
         yield from batch.to_pylist()
 
 
-_PART = ("part", "held_out", "sizes", "vocab", "numbers")
+_PART = ("part", "held_out", "sizes", "vocab", "uses", "ranks")
 
 
 def _iteration(encoded: DataFrame, m: Model, vocab: Vocabulary) -> Model:
@@ -410,7 +419,7 @@ def hmm_scores(docs: DataFrame, held_out, *, id_column: str = "doc_id", text_col
 
     def run(batches):
         for batch in batches:
-            for i, row in enumerate(_rows([batch.select(["part", "held_out", "sizes", "vocab", "numbers", "told"])])):
+            for i, row in enumerate(_rows([batch.select([*_PART, "told"])])):
                 part = Part.read(row)
                 n = np.concatenate([unpacked(t["n"], np.int64) for t in row["told"]])
                 shares = np.concatenate([unpacked(t["shares"], np.uint16).reshape(states, -1) for t in row["told"]], 1).T
