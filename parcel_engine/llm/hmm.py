@@ -316,8 +316,8 @@ def _iteration(encoded: DataFrame, m: Model, vocab: Vocabulary) -> Model:
 
 
 def _word_states(encoded: DataFrame, m: Model, vocab: Vocabulary, slices: int) -> DataFrame:
-    """(slice, part, vocab, n, g): each part's words, how often its training texts have them and expect
-    them in each state. The end is a word, the one with the hash ``END_HASH``."""
+    """(slice, part, vocab, n, shares): each part's words, how often its training texts have them, and in what
+    shares they expect them in each state. The end is a word, the one with the hash ``END_HASH``."""
     given = encoded.sparkSession.sparkContext.broadcast((m, vocab))
 
     def run(batches):
@@ -339,12 +339,12 @@ def _word_states(encoded: DataFrame, m: Model, vocab: Vocabulary, slices: int) -
                     pa.array(own[cut].astype(np.int32)), pa.array([row["part"]] * len(cut)),
                     pa.array([packed_hashes(h[a:b]) for a, b in bounds], pa.binary()),
                     pa.array([packed(n[a:b].astype(np.uint32)) for a, b in bounds], pa.binary()),
-                    pa.array([packed(emit[a:b].astype(np.float32).T) for a, b in bounds], pa.binary()),
+                    pa.array([packed(in_steps(emit[a:b]).T) for a, b in bounds], pa.binary()),
                 ],
-                ["slice", "part", "vocab", "n", "g"],
+                ["slice", "part", "vocab", "n", "shares"],
             )
 
-    return encoded.select(*_PART).mapInArrow(run, "slice int, part long, vocab binary, n binary, g binary")
+    return encoded.select(*_PART).mapInArrow(run, "slice int, part long, vocab binary, n binary, shares binary")
 
 
 def _merged(sent: DataFrame, states: int) -> DataFrame:
@@ -355,10 +355,10 @@ def _merged(sent: DataFrame, states: int) -> DataFrame:
         hashes = [unpacked_hashes(r["vocab"]) for r in rows]
         at = np.cumsum([0, *map(len, hashes)])
         values, back = np.unique(np.concatenate(hashes), return_inverse=True)
-        n = np.bincount(back, np.concatenate([unpacked(r["n"], np.uint32) for r in rows]))
-        g = np.concatenate([unpacked(r["g"], np.float32).reshape(states, -1) for r in rows], 1)
-        g = np.stack([np.bincount(back, row, len(values)) for row in g], 1)
-        shares = np.rint(SHARES * g / np.maximum(g.sum(1, keepdims=True), 1e-30)).astype(np.uint16)
+        each = np.concatenate([unpacked(r["n"], np.uint32) for r in rows])
+        n = np.bincount(back, each)
+        g = expected(each, np.concatenate([unpacked(r["shares"], np.uint16).reshape(states, -1) for r in rows], 1).T)
+        shares = in_steps(np.stack([np.bincount(back, g[:, k], len(values)) for k in range(states)], 1))
         totals = expected(n, shares).sum(0).tolist()
         yield pa.RecordBatch.from_arrays(
             [
@@ -385,6 +385,11 @@ def _merged(sent: DataFrame, states: int) -> DataFrame:
     return ordered.mapInArrow(run, "part long, slice int, n binary, shares binary, totals array<double>")
 
 
+def in_steps(g: np.ndarray) -> np.ndarray:
+    """The share of each state in expected counts, in steps of 1 / ``SHARES``."""
+    return np.rint(SHARES * g / np.maximum(g.sum(1, keepdims=True), 1e-30)).astype(np.uint16)
+
+
 def expected(n: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """How often words of the count ``n`` are expected in each state."""
     return n[:, None] * shares / np.maximum(shares.sum(1, keepdims=True, dtype=np.int64), 1)
