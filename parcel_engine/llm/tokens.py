@@ -92,9 +92,11 @@ class Encoder:
 
     def _learn(self, stretches: list[str]) -> None:
         if self.case:
-            plain = [s for s in stretches if _PLAIN(s)]
+            plain, other = [], []
+            for s in stretches:
+                (plain if _PLAIN(s) else other).append(s)
             self.known.update(zip(plain, self._merged(plain, self.case) if plain else ()))
-            stretches = [s for s in stretches if not _PLAIN(s)]
+            stretches = other
         cut = [self._pieces(s) for s in stretches]
         fresh = list(set().union(*cut).difference(self.parts))
         if fresh:
@@ -128,9 +130,11 @@ class Encoder:
         if len(self.parts) > REMEMBERED:
             self.parts.clear()
         fresh = set().union(*parts).difference(self.known)
-        again = fresh.intersection(self.older)
-        self.known.update((s, self.older[s]) for s in again)
-        fresh = list(fresh - again)
+        if self.older:
+            again = [s for s in fresh if s in self.older]
+            self.known.update((s, self.older[s]) for s in again)
+            fresh.difference_update(again)
+        fresh = list(fresh)
         if fresh:
             self._learn(fresh)
         get = self.known.__getitem__
