@@ -18,7 +18,7 @@ prefixes are extended by one.
   combinations each and use single ones; sets near that size use both, so that none is missed.
 * Every set under a key is a follower of the first one there, its leader. Sizes that cannot link go
   at once. In the first round each set is compared with its first leader, in the second with a leader
-  of each other component it has one in. Compressed texts travel, not sets: a follower's once a
+  of each other component, as far as the first round's links show it in two steps. Compressed texts travel, not sets: a follower's once a
   round, a leader's once for each ``FOLLOWERS`` of its followers.
 * Keys whose sets are still in several components are put together by their leader, and in each
   such group every set that is not in the largest component is compared with all others, block
@@ -174,7 +174,7 @@ def _frequent(source: DataFrame, reps: Broadcast, shingle: int, percent: int, bi
 
 
 def _keys(source: DataFrame, reps: Broadcast, given: Broadcast, shingle: int, percent: int) -> DataFrame:
-    """(key, id) for the keys of each representative; ``given``: the frequent shingles."""
+    """(key, id, n) for the keys of each representative, n its size; ``given``: the frequent shingles."""
 
     def run(batches):
         for batch in batches:
@@ -205,46 +205,42 @@ def _keys(source: DataFrame, reps: Broadcast, given: Broadcast, shingle: int, pe
                 size = [len(o) for o in out]
                 ids = batch.column(0).slice(first, len(n)).take(pa.array(np.repeat(np.arange(len(n)), size)))
                 keys = np.concatenate(out) if out else np.zeros(0, U64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), ids], ["key", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), ids, pa.array(np.repeat(n, size).astype(np.int32))], ["key", "id", "n"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"key long, id {kind}")
+    return source.mapInArrow(run, f"key long, id {kind}, n int")
 
 
-def _followers(rows: DataFrame) -> DataFrame:
-    """(key, leader, id) of all rows but the first, by id, under each key.
+def _followers(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, leader, id, near) of all rows but the first, by id, under each key.
 
-    Rows come sorted and the leader is carried along, so memory does not depend on how many rows
-    share a key.
+    ``near``: the sizes of both are such that they may link. Where rows share an id, its other sets
+    may link though; what is not compared with its leader is left for the blocks. Rows come sorted
+    and the leader is carried along, so memory does not depend on how many rows share a key.
     """
     ordered = rows.repartition("key").sortWithinPartitions("key", "id")
 
     def run(batches):
-        held = None  # key and leader at the end of the last batch
+        held = None  # key, leader and its size at the end of the last batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, id_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            key, id_, n = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
-            leader = id_[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+            leader, size = id_[first], n[first]
             if held is not None and held[0] == key[0]:
-                leader[: int(np.argmax(new[1:])) + 1 if new[1:].any() else len(key)] = held[1]
+                carried = int(np.argmax(new[1:])) + 1 if new[1:].any() else len(key)
+                leader[:carried], size[:carried] = held[1:]
                 new[0] = False
-            held = key[-1], leader[-1]
+            held = key[-1], leader[-1], size[-1]
             out = ~new & (leader != id_)
-            yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(leader[out]), pa.array(id_[out])], ["key", "leader", "id"])
+            near = (100 * size >= percent * n) & (100 * n >= percent * size)
+            yield pa.RecordBatch.from_arrays([pa.array(v[out]) for v in (key, leader, id_, near)], ["key", "leader", "id", "near"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return ordered.mapInArrow(run, f"key long, leader {kind}, id {kind}")
-
-
-def _similar_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    n = sizes.groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    with_n = pairs.join(n.select(F.col("id").alias("a"), F.col("least").alias("la"), F.col("most").alias("ma")), "a").join(
-        n.select(F.col("id").alias("b"), F.col("least").alias("lb"), F.col("most").alias("mb")), "b"
-    )
-    return with_n.where(f"100 * ma >= {percent} * lb and 100 * mb >= {percent} * la").select("a", "b")
+    return ordered.mapInArrow(run, f"key long, leader {kind}, id {kind}, near boolean")
 
 
 def _texts_of(source: DataFrame, given: Broadcast) -> DataFrame:
@@ -280,8 +276,8 @@ def _links(pairs: DataFrame, source: DataFrame, shingle: int, percent: int) -> D
     slices = pairs.groupBy("a").agg(F.ceil(F.count("*") / FOLLOWERS).cast("int").alias("k"))
     followers = pairs.join(slices, "a").select(F.col("b").alias("id"), F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), "k").cast("int").alias("slice"), F.lit(1).alias("follows"))
     leaders = slices.select(F.col("a").alias("id"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"), F.lit(0).alias("follows"))
-    roles = staged(followers.union(leaders), "jaccard-roles")
-    given = spark.sparkContext.broadcast(bitmap(roles.select("id").distinct(), "id"))
+    roles = followers.union(leaders)
+    given = spark.sparkContext.broadcast(bitmap(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id"))
     rows = roles.join(_texts_of(source, given), "id").select("leader", "slice", "follows", "id", "packed")
     ordered = rows.repartition("leader", "slice").sortWithinPartitions("leader", "slice", "follows")
 
@@ -304,9 +300,8 @@ def _links(pairs: DataFrame, source: DataFrame, shingle: int, percent: int) -> D
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, batch.schema.field(0).type), pa.array(b, batch.schema.field(0).type)], ["a", "b"])
 
-    found = staged(ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct(), "jaccard-links", TEXTS_BATCH)
+    found = staged(ordered.mapInArrow(run, f"a {kind}, b {kind}"), "jaccard-links", TEXTS_BATCH)
     given.destroy()
-    discard(roles)
     return found
 
 
@@ -318,7 +313,7 @@ def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return known.where("ca <> cb")
 
 
-def _open(followers: DataFrame, apart: DataFrame, parts: DataFrame) -> DataFrame:
+def _open(followers: DataFrame, apart: DataFrame, parts: DataFrame, scale: int) -> DataFrame:
     """(key, leader, id, component) of keys whose sets are in several components, leaders included.
 
     Only keys of leaders with a follower in another component can be such.
@@ -331,17 +326,18 @@ def _open(followers: DataFrame, apart: DataFrame, parts: DataFrame) -> DataFrame
             yield batch.filter(pa.array(given.value.may_hold(pc.cast(batch.column(1), pa.int64()).to_numpy())))
 
     kind = followers.schema["id"].dataType.simpleString()
+    followers = followers.select("key", "leader", "id")
     some = staged(followers.mapInArrow(run, f"key long, leader {kind}, id {kind}"), "jaccard-unsettled")
     given.destroy()
     rows = some.union(some.select("key", "leader", F.col("leader").alias("id"))).distinct()
     known = rows.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     keys = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    left = staged(known.join(keys.select("key"), "key").select("leader", "id", "component").distinct(), "jaccard-open")
+    left = staged(known.join(keys.select("key"), "key").select("leader", "id", "component").distinct(), "jaccard-open", scale=scale)
     discard(some)
     return left
 
 
-def _links_in_blocks(left: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _links_in_blocks(left: DataFrame, source: DataFrame, shingle: int, percent: int, scale: int) -> DataFrame:
     """A link for each set and each component it links to, within the open keys of a leader."""
     spark = left.sparkSession
     ids = left.withColumnRenamed("leader", "g")
@@ -352,7 +348,7 @@ def _links_in_blocks(left: DataFrame, source: DataFrame, shingle: int, percent:
         "g", "id", "component", (F.col("component") != F.col("largest")).alias("outside"),
         blocks(F.col("n") - F.col("most")).alias("outs"), blocks(F.col("n")).alias("all"), F.xxhash64("id").alias("h"),
     )
-    known = staged(known, "jaccard-groups")
+    known = staged(known, "jaccard-groups", scale=scale)
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left_side = known.where("outside").select("g", "id", "component", F.pmod("h", "outs").cast("int").alias("o"), each("all").alias("m"), F.lit(True).alias("asks"))
     right_side = known.select("g", "id", "component", each("outs").alias("o"), F.pmod("h", "all").cast("int").alias("m"), F.lit(False).alias("asks"))
@@ -398,7 +394,7 @@ def jaccard_components(
     real = everything.where("n > 0 and id is not null")
     groups = staged(real.groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "jaccard-sets")
     copies = real.join(groups, ["n", "a", "b"]).where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    reps = groups.select(F.col("rep").alias("id")).distinct()
+    reps = groups.select(F.col("rep").alias("id"))
 
     context = docs.sparkSession.sparkContext
     size = groups.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
@@ -407,30 +403,35 @@ def jaccard_components(
     live = source.where("id is not null")
     wide = bits(size["shingles"] // 4)
     frequent = context.broadcast(_frequent(live, chosen, shingle, percent, wide, slices_of(size["shingles"], wide)))
-    followers = staged(_followers(_keys(live, chosen, frequent, shingle, percent)), "jaccard-followers")
+    followers = staged(_followers(_keys(live, chosen, frequent, shingle, percent), percent), "jaccard-followers")
     chosen.destroy()
     frequent.destroy()
 
-    met = staged(followers.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "jaccard-met")
-    pairs = staged(_similar_size(met, groups.select(F.col("rep").alias("id"), "n"), percent), "jaccard-pairs")
-    first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-first")
+    sets = size["sets"]
+    met = staged(followers.groupBy(F.col("leader").alias("a"), F.col("id").alias("b")).agg(F.max("near").alias("near")), "jaccard-met", scale=sets)
+    pairs = met.where("near").select("a", "b")
+    first = staged(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "jaccard-first", scale=sets)
     one = _links(first, live, shingle, percent)
-    parts = components(one)
-    again = _apart(pairs, parts).groupBy("ca", "b").agg(F.min("a").alias("a")).select("a", "b").distinct()
-    second = staged(again.join(first, ["a", "b"], "left_anti"), "jaccard-second")
-    discard(parts)
+    # a set has one leader here at most: that, or the leader's, stands for its component
+    up = one.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("a"))
+    heads = up.join(up.select(F.col("node").alias("a"), F.col("a").alias("top")), "a", "left").select("node", F.coalesce("top", "a").alias("component"))
+    heads = staged(heads, "jaccard-heads", scale=sets)
+    again = _apart(pairs, heads).groupBy("ca", "b").agg(F.min("a").alias("a")).select("a", "b").distinct()
+    second = staged(again.join(first, ["a", "b"], "left_anti"), "jaccard-second", scale=sets)
+    discard(heads)
     two = _links(second, live, shingle, percent)
-    links = one.union(two)
-    parts = components(links)
+    parts = components(one.union(two), sets)
     # two followers may link that are both unlike their leader, so all that met count
-    apart = staged(_apart(met, parts), "jaccard-apart")
-    left = _open(followers, apart, parts)
-    discard(first, second, apart, parts, followers, pairs, met)
-    three = _links_in_blocks(left, live, shingle, percent)
+    apart = staged(_apart(met.select("a", "b"), parts), "jaccard-apart", scale=sets)
+    left = _open(followers, apart, parts, sets)
+    discard(first, second, apart, followers, met, one, two)
+    three = _links_in_blocks(left, live, shingle, percent, sets)
     discard(left)
 
-    parts = components(links.union(three).union(copies)).select(F.col("node").alias("id"), "component")
-    discard(one, two, three, groups)
+    stars = parts.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    whole = components(stars.union(three).union(copies), sets)
+    discard(parts, three, groups)
+    parts = whole.select(F.col("node").alias("id"), "component")
     return everything.join(parts, "id", "left").select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )

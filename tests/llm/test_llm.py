@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 from parcel_engine.llm import common, hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
 from parcel_engine.llm.common import fold, lowest, new_folder
 from parcel_engine.llm.tokens import Encoder
+from parcel_engine.session import session_conf
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, hashes string, length int"
@@ -426,6 +427,25 @@ def test_jaccard_components_are_exact(spark):
     assert {r.doc_id for r in jaccard.keep_one(docs).collect()} == {i for i in sets if i is None or root(i) == i}
 
 
+def test_jaccard_join_runs_few_tasks(spark):
+    words = [" ".join(f"g{g}w{k}" for k in range(40)) for g in range(20)]
+    rows = [(g * 100 + i, text + f" own{i} end{i}") for g, text in enumerate(words) for i in range(6)]
+    rows += [(5000 + g, text + " own0 end0") for g, text in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    context = spark.sparkContext
+    context.setJobGroup("few-tasks", "")
+    try:
+        with session_conf(spark, held):
+            got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {i: (i - 5000) * 100 if i >= 5000 else i // 100 * 100 for i, _ in rows}
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds}
+    assert sum(tracker.getStageInfo(s).numCompletedTasks for s in stages if tracker.getStageInfo(s)) < 2200
+
+
 def test_extraction(spark):
     page = "<html><body><nav>menu</nav><div class='ad-box'>buy</div><article><h1>T &amp; t</h1><p>one <b>t</b>wo<br>x<p>three<script>no</script><div class=comments>c</div></article><footer>f</footer>"
     plain = "<body><div class=top>Same words</div><div class=text>Own text {}</div><!-- unclosed"
