@@ -35,6 +35,8 @@ LEAST_WORTH = 25.0
 CANDIDATES = 1024
 #: Chi-squared by which a pair must surpass its better term; half a million pairs pass less by chance.
 LEAST_GAIN = 40.0
+#: Documents, and rows of the table of pairs, that the driver holds apart at a time.
+BLOCK, ROWS = 1000, 128
 FACTORS = 4
 THRESHOLD = 0.7
 BUCKETS_BITS = 30
@@ -127,18 +129,28 @@ def pair_terms(docs: list[np.ndarray], label: np.ndarray, terms: int, features:
     """Terms, by number, of the pairs that gain most over their better term."""
     if not terms:
         return np.zeros(0, np.int64)
-    held = np.zeros((len(docs), terms), np.float32)
-    held[np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.concatenate([*docs, np.zeros(0, np.int64)])] = 1
-    toxic = held[label > 0]
-    both, bad = held.T @ held, toxic.T @ toxic
-    chi = worth(both.astype(np.float64), bad.astype(np.float64), len(docs), float(label.sum()))
-    alone = np.diag(chi)
-    gain = np.triu(chi - np.maximum(alone[:, None], alone), 1)
-    # a mark of four documents at least, as for single terms
-    gain[both < 4] = 0
-    found = np.flatnonzero(gain.ravel() >= LEAST_GAIN)
-    best = found[np.argsort(-gain.ravel()[found], kind="stable")][: features // 2]
-    return np.unique(np.concatenate(np.unravel_index(best, gain.shape)))
+    both, bad = np.zeros((terms, terms), np.float32), np.zeros((terms, terms), np.float32)
+    for s in range(0, len(docs), BLOCK):
+        part = docs[s : s + BLOCK]
+        held = np.zeros((len(part), terms), np.float32)
+        held[np.repeat(np.arange(len(part)), [len(d) for d in part]), np.concatenate(part)] = 1
+        toxic = held[label[s : s + BLOCK] > 0]
+        both += held.T @ held
+        bad += toxic.T @ toxic
+    n, p = len(docs), float(label.sum())
+    alone = worth(np.diag(both).astype(np.float64), np.diag(bad).astype(np.float64), n, p)
+    best, most = np.zeros(0, np.int64), np.zeros(0)
+    for x in range(0, terms, ROWS):
+        count = both[x : x + ROWS]
+        chi = worth(count.astype(np.float64), bad[x : x + ROWS].astype(np.float64), n, p)
+        gain = np.triu(chi - np.maximum(alone[x : x + ROWS, None], alone), x + 1)
+        # a mark of four documents at least, as for single terms
+        gain[count < 4] = 0
+        found = np.flatnonzero(gain.ravel() >= LEAST_GAIN)
+        best, most = np.concatenate([best, found + x * terms]), np.concatenate([most, gain.ravel()[found]])
+        order = np.argsort(-most, kind="stable")[: features // 2]
+        best, most = best[order], most[order]
+    return np.unique(np.concatenate(np.unravel_index(best, both.shape)))
 
 
 def _numbers(held: DataFrame, terms: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -157,11 +169,13 @@ def _numbers(held: DataFrame, terms: np.ndarray) -> tuple[list[np.ndarray], np.n
             out = pa.ListArray.from_arrays(pa.array(before[at].astype(np.int32)), pa.array(where[hit].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), out], ["label", "terms"])
 
-    rows = held.mapInArrow(run, "label int, terms array<int>").toPandas()
+    rows = held.mapInArrow(run, "label int, terms array<int>").toArrow().combine_chunks()
     given.destroy()
-    docs = [np.asarray(t, np.int64) for t in rows["terms"]]
-    order = sorted(range(len(docs)), key=lambda i: (docs[i].tobytes(), rows["label"][i]))
-    return [docs[i] for i in order], rows["label"].to_numpy(float)[order]
+    label, lists = rows.column("label").to_numpy(), rows.column("terms").combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    docs = [flat[x:y] for x, y in zip(at[:-1], at[1:])]
+    order = sorted(range(len(docs)), key=lambda i: (docs[i].tobytes(), label[i]))
+    return [docs[i] for i in order], label.astype(float)[order]
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",

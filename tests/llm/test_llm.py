@@ -389,6 +389,24 @@ def test_training_finds_a_pair_among_many_terms(spark, rule):
     assert clean.columns == docs.columns and {(r.score, r.predicted) for r in clean.collect()} == {("own", 7)}
 
 
+def test_pairs_of_terms_take_little_memory():
+    rng = np.random.default_rng(3)
+    docs = [np.unique(rng.integers(0, 1500, 40)) for _ in range(12_000)]
+    label = np.array([float({1, 2} <= set(d.tolist()) or rng.random() < 0.002) for d in docs])
+    few = [d[d < 100] for d in docs]
+    tracemalloc.start()
+    toxicity.pair_terms(docs, label, 1500)
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    held = np.array([np.isin(np.arange(100), d) for d in few], float)
+    chi = toxicity.worth(held.T @ held, held.T @ (held * label[:, None]), len(few), label.sum())
+    gain = chi - np.maximum(np.diag(chi)[:, None], np.diag(chi))
+    gain = {(i, j): gain[i, j] for i, j in combinations(range(100), 2) if gain[i, j] >= toxicity.LEAST_GAIN and (held[:, i] * held[:, j]).sum() >= 4}
+    for most in (2, 20, 2048):
+        best = sorted(gain, key=lambda k: (-gain[k], k))[: most // 2]
+        assert toxicity.pair_terms(few, label, 100, most).tolist() == sorted({i for k in best for i in k})
+
+
 def test_toxicity_cases(docs, labels):
     for known in (labels, labels.where("doc_id < 0")):
         out = toxicity.toxicity(docs, toxicity.train(docs, known))
