@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcel_engine.llm.common import staged
-from parcel_engine.llm.tokens import TEXTS, encoder
+from parcel_engine.llm.tokens import encoder, together
 
 CAPACITY = 1024
 
@@ -43,10 +43,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_column: str = "doc_id",
     def run(batches):
         encode = encoder(tokenizer, spaced).encode
         for batch in batches:
-            for s in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(s, TEXTS)
+            for part in together(batch, 1):
                 rows, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(encode([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(encode(part.column(1))):
                     ids += tail
                     n = len(ids) // 4
                     cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]

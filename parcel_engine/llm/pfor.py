@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel_engine.llm.common import new_folder, staged
-from parcel_engine.llm.tokens import TEXTS, encoder
+from parcel_engine.llm.tokens import encoder, together
 
 BLOCK = 512
 PERCENTILE = 95
@@ -192,13 +192,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, *, id_column: str =
         path = f"{folder}/shard-{context.partitionId():06d}-{context.taskAttemptId()}.pfor"
         encode = encoder(tokenizer, spaced).encode
         for batch in batches:
-            for s in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(s, TEXTS)
+            for part in together(batch, 1):
                 if writer is None:
                     store, place = fs.FileSystem.from_uri(path)
                     store.create_dir(place.rpartition("/")[0], recursive=True)
                     writer = ShardWriter(store.open_output_stream(place, compression=None))
-                for name, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()])):
+                for name, ids in zip(part.column(0).to_pylist(), encode(part.column(1))):
                     writer.add(name, ids + tail)
         if writer is not None:
             writer.close()

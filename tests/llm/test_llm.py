@@ -265,6 +265,21 @@ def test_cut_texts_have_the_ids_of_whole_ones(parts):
         assert Encoder(public_tokenizers.path(name), spaced).encode(texts) == want
 
 
+def test_parts_that_stretches_share_are_encoded_once():
+    marks = [c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"]
+    text = "Alpha " + " ".join(f"{word}{m}" for m in marks for word in ("Alpha", "b\u00e9ta")) + "\nAlpha,Alpha.\nb\u00e9ta (Alpha"
+    odd = [text, None, "", "\n", " ", "a \u2003b \u201cc\u201d \x85d", "e\u0301, o\u00d7o <\u0338\nE\u0301.", "it's,'s.'ll\u00e9's"]
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        whole, encoder, sent = Tokenizer.from_file(path), Encoder(path, spaced), []
+        merged = encoder._merged
+        encoder._merged = lambda parts, *more: sent.extend(parts) or merged(parts, *more)
+        want = [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+        assert encoder.encode([t or "" for t in odd]) == want
+        assert sum("lpha" in part for part in sent) == 1 + spaced  # with and without a space before it
+        assert encoder.encode(pa.array(odd * 2)[2:10]) == want[2:] + want[:2]
+
+
 def test_license_scan(docs):
     found = {r.doc_id: (r.license, r.licenses) for r in licenses.license_scan(docs).collect()}
     assert found[12] == ("All rights reserved", "All rights reserved")
