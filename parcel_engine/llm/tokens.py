@@ -29,6 +29,9 @@ from parcel_engine.llm.common import SPACE, text_buffer
 #: Distinct parts a worker learns before it forgets those it has not met since the last time.
 REMEMBERED = 400_000
 
+#: Characters of the longest part that a worker remembers; text without spaces is one long part.
+LONGEST = 100
+
 #: Bytes of texts that are encoded together.
 TOGETHER = 4 << 20
 
@@ -136,7 +139,7 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         if self.case:
-            plain = list(filter(self.plain, parts))
+            plain = [p for p in parts if len(p) <= LONGEST and self.plain(p)]
             words = [self.case(p if self.spaced else p.strip()) for p in plain]
             fresh = self._unknown(list(set(words)))
             found = self._merged(fresh) if fresh else []
@@ -194,6 +197,9 @@ class Encoder:
         ids = pa.array(list(map(self.known.__getitem__, parts)), pa.large_binary()).take(coded.indices)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(starts, rows)].tolist()
         out = memoryview(ids.buffers()[2] or b"")
+        for p in fresh:
+            if len(p) > LONGEST:
+                self.known.pop(p)
         return [bytes(out[a:b]) for a, b in zip(ends, ends[1:])]
 
 

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parcel_engine.llm import common, hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, toxicity, warc
+from parcel_engine.llm import common, hmm, jaccard, licenses, packing, pfor, rules, styletree, tiling, tokens, toxicity, warc
 from parcel_engine.llm.common import fold, lowest, new_folder
 from parcel_engine.llm.tokens import Encoder
 from parcel_engine.session import session_conf
@@ -280,6 +280,19 @@ def test_parts_that_stretches_share_are_encoded_once():
         assert encoder.encode(pa.array(odd * 2)[2:10]) == want[2:] + want[:2]
 
 
+def test_texts_go_to_the_encoder_by_bytes_and_long_parts_are_not_kept():
+    texts = ["a b", None, "", "\u4e2d" * (tokens.TOGETHER // 2), "c" * 3 * tokens.TOGETHER, "\u6587" * 200, "a"] * 3
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    slices = list(tokens.together(batch, 1))
+    assert [t for s in slices for t in s.column(1).to_pylist()] == texts and list(tokens.together(batch.slice(0, 0), 1)) == []
+    assert all(sum(len((t or "").encode()) for t in s.column(1).to_pylist()[1:]) <= tokens.TOGETHER for s in slices)
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        path = public_tokenizers.path(name)
+        whole, encoder, some = Tokenizer.from_file(path), Encoder(path, spaced), ["\u6587" * 200 + ", a", "b " + "X" * 300, "\u6587" * 200]
+        want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+        assert encoder.encode(some) == want == encoder.encode(some) and max(map(len, encoder.known)) <= tokens.LONGEST
+
+
 def test_license_scan(docs):
     found = {r.doc_id: (r.license, r.licenses) for r in licenses.license_scan(docs).collect()}
     assert found[12] == ("All rights reserved", "All rights reserved")
